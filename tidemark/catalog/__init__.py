@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from tidemark.catalog import bronze  # noqa: F401
+from tidemark.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

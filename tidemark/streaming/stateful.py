@@ -62,18 +62,18 @@ def split_late(rows: DataFrame, event_time: str, ingest_time: str, minutes: int
     return rows.filter(~late), rows.filter(late)
 
 
-def ingest_lag(rows: DataFrame, event_time: str, ingest_time: str, by: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """Seconds between event and ingest per group. Percentiles are sketches with a rank error
-    of 1/accuracy, so a group of any size is merged from small partial results."""
-    lag = (F.unix_micros(ingest_time) - F.unix_micros(event_time)) / F.lit(1_000_000)
-    return (
-        rows.withColumn("_lag", lag)
-        .groupBy(*by)
-        .agg(
-            F.count("_lag").alias("rows"),
-            F.min("_lag").alias("min_lag_s"),
-            F.percentile_approx("_lag", 0.5, accuracy).alias("median_lag_s"),
-            F.percentile_approx("_lag", 0.95, accuracy).alias("p95_lag_s"),
-            F.max("_lag").alias("max_lag_s"),
-        )
+def ingest_lag(rows: DataFrame, event_time: str, ingest_time: str, by: Sequence[str]) -> DataFrame:
+    """Whole seconds between event and ingest per group, with exact percentiles.
+
+    Equal lags are counted first, so a group is merged from one row per distinct second,
+    however many events it has.
+    """
+    lag = F.floor((F.unix_micros(ingest_time) - F.unix_micros(event_time)) / F.lit(1_000_000))
+    counted = rows.groupBy(*by, lag.alias("lag_s")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.groupBy(*by).agg(
+        F.sum("_rows").alias("rows"),
+        F.min("lag_s").alias("min_lag_s"),
+        F.percentile("lag_s", 0.5, F.col("_rows")).alias("median_lag_s"),
+        F.percentile("lag_s", 0.95, F.col("_rows")).alias("p95_lag_s"),
+        F.max("lag_s").alias("max_lag_s"),
     )
