@@ -19,9 +19,12 @@ def connect(sf_dir):
 def _plain(value):
     if isinstance(value, bool) or value is None or isinstance(value, str):
         return value
-    if isinstance(value, (int, float)):
-        number = float(value)
-        return None if math.isnan(number) else float(f"{number:.10g}")
+    if isinstance(value, int):
+        return value
+    if isinstance(value, float):
+        if math.isnan(value):
+            return None
+        return int(value) if value.is_integer() else float(f"{value:.12g}")
     return repr(value)
 
 

@@ -406,8 +406,8 @@ def rows_to_json_messages(spark, sf_dir):
 @query(
     "unix_ms_to_ts",
     """
-SELECT event_id, epoch_ms(ts) AS ts_ms,
-       strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%f') AS from_ms
+SELECT event_id, epoch_us(ts) // 1000 AS ts_ms,
+       strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%d %H:%M:%S.%f') AS from_ms
 FROM events
 """,
 )
