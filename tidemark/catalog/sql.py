@@ -35,11 +35,14 @@ segments AS (SELECT cast(o_custkey AS varchar) AS user_id, o_orderpriority AS se
 
 PRODUCTS = """
 products AS (
-  SELECT cast(p_partkey AS varchar) AS product_id, p_name AS title, p_type AS category, p_retailprice AS price_usd,
-    TIMESTAMP '1995-01-01' AS change_ts, -1::bigint AS lsn, 0 AS bronze_partition, p_partkey AS bronze_offset FROM part
-  UNION ALL
-  SELECT cast(l_partkey AS varchar), p_name, p_type, floor(l_extendedprice / l_quantity), l_shipdate, l_orderkey,
-    l_suppkey, l_orderkey * 8 + l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  SELECT cast(k AS varchar) AS product_id, 'Part#' || k AS title, 'Group#' || (k % 25) AS category, price_usd, change_ts, lsn,
+    bronze_partition, bronze_offset
+  FROM (
+    SELECT p_partkey AS k, p_retailprice AS price_usd, TIMESTAMP '1995-01-01' AS change_ts, -1::bigint AS lsn,
+      0 AS bronze_partition, p_partkey AS bronze_offset FROM part
+    UNION ALL
+    SELECT l_partkey, floor(l_extendedprice / l_quantity), l_shipdate, l_orderkey, l_suppkey, l_orderkey * 8 + l_linenumber
+    FROM lineitem))"""
 
 STOCK = """
 stock AS (SELECT cast(l_suppkey AS varchar) AS warehouse_id, cast(l_partkey AS varchar) AS product_id,

@@ -126,21 +126,20 @@ def user_changes(customer: DataFrame, nation: DataFrame) -> DataFrame:
 def product_changes(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Products: list price on the first day, then the unit price of every line shipped."""
     listed = part.select(
-        "p_partkey", "p_name", "p_type", F.col("p_retailprice").alias("price"), first_day().alias("at"),
+        F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("price"), first_day().alias("at"),
         F.lit(-1).cast("bigint").alias("lsn"), F.lit(0).alias("partition"), F.col("p_partkey").alias("offset"),
     )
-    names = part.select("p_partkey", "p_name", "p_type")
-    sold = lineitem.join(names, F.col("l_partkey") == F.col("p_partkey")).select(
-        "p_partkey", "p_name", "p_type",
+    sold = lineitem.select(
+        F.col("l_partkey").alias("key"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"),
         F.col("l_shipdate").alias("at"), F.col("l_orderkey").alias("lsn"),
         F.col("l_suppkey").cast("int").alias("partition"), line_offset().alias("offset"),
     )
     rows = listed.unionByName(sold)
     image = F.struct(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_type").alias("category"),
+        F.col("key").cast("string").alias("product_id"),
+        F.concat(F.lit("Part#"), F.col("key").cast("string")).alias("title"),
+        F.concat(F.lit("Group#"), (F.col("key") % 25).cast("string")).alias("category"),
         F.col("price").alias("price_usd"),
     )
     return _changes(rows, "products", image, F.lit("u"), F.col("at"), F.col("lsn"), F.col("partition"), F.col("offset"))

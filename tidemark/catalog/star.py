@@ -18,6 +18,7 @@ from tidemark.operators.ranking import latest_per_key
 from tidemark.operators.timeline import Timeline
 from tidemark.plans import dimensions, facts, gold, star
 from tidemark.schemas import CDC_TABLES
+from tidemark.sources.tables import write_snapshot
 
 
 def _t(spark, sf_dir, *names):
@@ -53,6 +54,12 @@ def calendar(spark, sf_dir) -> DataFrame:
     return dimensions.calendar_of(stand_ins.calendar_bounds(*_t(spark, sf_dir, "orders", "lineitem", "events")))
 
 
+def _staged(spark, *tables: DataFrame) -> list[DataFrame]:
+    """Dimensions written once; facts look them up in the written tables."""
+    root = workspace.fresh_folder(spark, "dimensions")
+    return [write_snapshot(df, f"{root}/{number}") for number, df in enumerate(tables)]
+
+
 def _shown_dimension(dim: DataFrame, prefix: str) -> DataFrame:
     return shown_range(dim).drop(f"{prefix}_sk", "processed_at")
 
@@ -288,7 +295,7 @@ LEFT JOIN p ON p.product_id = life.product_id AND order_ts >= p.valid_from AND o
 """,
 )
 def fact_order_service(spark, sf_dir):
-    who, what, when = customers(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir)
+    who, what, when = _staged(spark, customers(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir))
     fact = facts.fact_order_service(_order_events(spark, sf_dir), who, what, when)
     shown = _with_date(_with_versions(fact, customer=who, product=what), when)
     return _shown_orders(shown).drop("order_sk")
@@ -343,7 +350,7 @@ LEFT JOIN p ON p.product_id = m.product_id AND m.change_ts >= p.valid_from AND m
 """,
 )
 def fact_inventory_position(spark, sf_dir):
-    where, what, when = warehouses(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir)
+    where, what, when = _staged(spark, warehouses(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir))
     fact = facts.fact_inventory_position(_inventory_events(spark, sf_dir), where, what, when)
     shown = _with_date(_with_versions(fact, warehouse=where, product=what), when).drop("inventory_sk")
     order = ["change_ts", "bronze_partition", "bronze_offset"]
@@ -469,7 +476,7 @@ LEFT JOIN p ON p.product_id = d.product_id AND last_interaction_ts >= p.valid_fr
 """,
 )
 def fact_customer_engagement(spark, sf_dir):
-    who, what, when = customers(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir)
+    who, what, when = _staged(spark, customers(spark, sf_dir), products(spark, sf_dir), calendar(spark, sf_dir))
     fact = facts.fact_customer_engagement(_interactions(spark, sf_dir), who, what, when)
     shown = _with_date(_with_versions(fact, customer=who, product=what), when).drop("engagement_sk")
     return shown.withColumn("last_interaction_ts", stamp(F.col("last_interaction_ts")))

@@ -1,8 +1,17 @@
-"""Casts that turn bad text into NULL, and time conversions."""
+"""Casts that turn bad text into NULL, parsing of JSON text, and time conversions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+
+def with_parsed_json(df: DataFrame, text: str, schema: T.StructType, name: str) -> DataFrame:
+    """Add the parsed text as a struct column, parsing each row exactly once.
+
+    A filter on a field of a plain ``from_json`` column is pushed below the projection and
+    parses the text again for every field it mentions. A generator of one row stops that.
+    """
+    return df.select("*", F.stack(F.lit(1), F.from_json(text, schema)).alias(name))
 
 
 def safe_cast(column: Column, data_type: T.DataType | str) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.casts import epoch_millis, safe_cast
+from tidemark.functions.casts import epoch_millis, safe_cast, with_parsed_json
 from tidemark.operators.ranking import latest_per_key
 
 # Total order of the changes of one key.
@@ -36,12 +36,13 @@ def decode_changes(bronze: DataFrame, table: T.StructType) -> DataFrame:
             *text.fields,
         ]
     )
-    parsed = bronze.select(
-        F.from_json("json_payload", envelope).alias("_e"),
+    lineage = bronze.select(
+        "json_payload",
         "event_time",
         F.col("partition").alias("bronze_partition"),
         F.col("offset").alias("bronze_offset"),
     )
+    parsed = with_parsed_json(lineage, "json_payload", envelope, "_e").drop("json_payload")
     envelope_column = F.col("_e")
     flat = F.struct(*[envelope_column[f.name].alias(f.name) for f in table.fields])
     image = (

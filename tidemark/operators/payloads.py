@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.functions.casts import safe_cast
+from tidemark.functions.casts import safe_cast, with_parsed_json
 from tidemark.schemas import TOPIC_DEFAULTS, TOPICS
 
 
@@ -16,7 +16,7 @@ def of_source(bronze: DataFrame, source: str) -> DataFrame:
 def parse_payload(bronze: DataFrame, fields: T.StructType, column: str = "json_payload") -> DataFrame:
     """Parse once into a struct ``payload`` of text fields; bad JSON gives NULL fields."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields.fields])
-    return bronze.withColumn("payload", F.from_json(column, text))
+    return with_parsed_json(bronze, column, text, "payload")
 
 
 def topic_rows(bronze: DataFrame, topic: str) -> DataFrame:

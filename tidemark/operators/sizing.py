@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 # A side below this may be sent to every executor.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-# Input below this fits one task whatever its key distribution is.
+# Input files below this fit one task whatever the key distribution is.
 ONE_TASK_BYTES = 64 * 1024 * 1024
 
 
@@ -17,6 +17,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(statistics.sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything the query reads. Unlike the estimate of a join, which multiplies
+    both sides, this stays near the truth for lookups, unions and filters."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     return estimated_bytes(df) <= limit
 

@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.operators.sizing import ONE_TASK_BYTES, is_small
+from tidemark.operators.sizing import ONE_TASK_BYTES, input_bytes
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_KEYS = 4_096
@@ -74,7 +74,7 @@ class Timeline:
         Input that fits one task needs no look at its keys. ``rows_per_task`` forces the look.
         """
         keys, order = tuple(keys), tuple(order)
-        if rows_per_task is None and is_small(df, ONE_TASK_BYTES):
+        if rows_per_task is None and input_bytes(df) <= ONE_TASK_BYTES:
             return cls(keys, order)
         limit = rows_per_task or ROWS_PER_TASK
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
