@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import wire
+from tidemark.sources.tables import spread_rows
 
 SCHEMA_ID = 17
 FIRST_DAY = "1995-01-01"
@@ -106,7 +107,7 @@ def segment_changes(orders: DataFrame) -> DataFrame:
     """Customer segments: one change per order, a delete at every 41st order key."""
     op = F.when(F.col("o_orderkey") % 41 == 0, "d").otherwise("u")
     return _changes(
-        orders, "customer_segments", segment_image(), op, F.col("o_orderdate"), F.col("o_orderkey"),
+        spread_rows(orders, "o_orderkey"), "customer_segments", segment_image(), op, F.col("o_orderdate"), F.col("o_orderkey"),
         F.col("o_custkey") % 4, F.col("o_orderkey"),
     )
 
@@ -129,7 +130,7 @@ def product_changes(part: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("price"), first_day().alias("at"),
         F.lit(-1).cast("bigint").alias("lsn"), F.lit(0).alias("partition"), F.col("p_partkey").alias("offset"),
     )
-    sold = lineitem.select(
+    sold = spread_rows(lineitem, "l_orderkey").select(
         F.col("l_partkey").alias("key"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"),
         F.col("l_shipdate").alias("at"), F.col("l_orderkey").alias("lsn"),
@@ -194,7 +195,7 @@ def stock_changes(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").cast("bigint").alias("reserved_qty"),
     )
     return _changes(
-        lineitem, "warehouse_inventory", image, F.lit("u"), F.col("l_shipdate"), F.col("l_orderkey"),
+        spread_rows(lineitem, "l_orderkey"), "warehouse_inventory", image, F.lit("u"), F.col("l_shipdate"), F.col("l_orderkey"),
         F.col("l_partkey"), line_offset(),
     )
 
@@ -208,6 +209,7 @@ def order_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     Settled orders (status F) have a pending payment before; status P failed, and every
     third of those has no payment at all. Every line item is a shipment.
     """
+    orders, lineitem = spread_rows(orders, "o_orderkey"), spread_rows(lineitem, "l_orderkey")
     placed = orders.select(
         *bronze_rows(
             "orders.v1",
@@ -275,7 +277,7 @@ def inventory_events(lineitem: DataFrame) -> DataFrame:
     delta = F.when(back, quantity).otherwise(-quantity)
     before = F.col("l_linenumber") * 10
     after = F.greatest(F.lit(0), before + delta) + F.when(F.col("l_orderkey") % 89 == 0, 1).otherwise(0)
-    return lineitem.select(
+    return spread_rows(lineitem, "l_orderkey").select(
         *bronze_rows(
             "inventory-changes.v1",
             F.col("l_shipdate"),
@@ -307,7 +309,7 @@ def interaction_events(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "click", "SEARCH")
         .otherwise("PAGE_VIEW")
     )
-    return events.select(
+    return spread_rows(events, "event_id").select(
         *bronze_rows(
             "customer-interactions.v1",
             F.col("ts"),

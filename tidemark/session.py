@@ -15,6 +15,8 @@ TUNING_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # recording the call site of every column costs more than planning does
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

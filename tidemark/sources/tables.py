@@ -14,7 +14,19 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def spread_rows(df: DataFrame, *by: str) -> DataFrame:
+    """Give every core work when a table has fewer splits than there are cores.
+
+    A file with one row group is one task. Before costly per-row work such as parsing, its
+    rows are hashed over all cores. Tables with enough splits stay as they are.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
+def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather rows of a partition for writing, splitting large ones at run time."""
     return df.hint("rebalance", *partition_by) if partition_by else df
 
@@ -23,7 +35,7 @@ def write_snapshot(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), codec: str = "zstd"
 ) -> DataFrame:
     """Create or replace a table at a path and read it back."""
-    writer = _spread(df, partition_by).write.mode("overwrite").option("compression", codec)
+    writer = _gather(df, partition_by).write.mode("overwrite").option("compression", codec)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(_stored(df, partition_by)).parquet(path)
 
@@ -34,7 +46,7 @@ def _stored(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = _spread(df, partition_by).write.mode("append")
+    writer = _gather(df, partition_by).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
