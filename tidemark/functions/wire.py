@@ -19,7 +19,7 @@ def schema_id(value: Column) -> Column:
 
 def payload_size(value: Column) -> Column:
     """Bytes after the header, never negative; NULL for a NULL value."""
-    return F.greatest(F.octet_length(value) - F.lit(HEADER_BYTES), F.lit(0))
+    return F.when(value.isNotNull(), F.greatest(F.octet_length(value) - F.lit(HEADER_BYTES), F.lit(0)))
 
 
 def body(value: Column) -> Column:

@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is named (tests)."""
-    root = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    if named:
+        return named.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+        spark.sparkContext.setCheckpointDir(_local_root())
+    return _local_root()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
