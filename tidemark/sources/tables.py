@@ -92,7 +92,7 @@ def ensure_table(
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(schema))
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
 def publish(
