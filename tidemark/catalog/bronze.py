@@ -115,7 +115,9 @@ def stream_dedup(spark, sf_dir):
     root = workspace.fresh_folder(spark, "dedup")
     events = _stream(spark, sf_dir, "events")
     once = stateful.deduplicate(events.union(events), ["event_id"], "ts")
-    ingest.start_append(once, f"{root}/rows", f"{root}/checkpoint", partition_by=("event_type",)).awaitTermination()
+    with stateful.disk_backed_state(spark):
+        query = ingest.start_append(once, f"{root}/rows", f"{root}/checkpoint", partition_by=("event_type",))
+        query.awaitTermination()
     return spark.read.schema(events.schema).parquet(f"{root}/rows").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("event_id").alias("distinct_ids"),
@@ -237,7 +239,7 @@ def offset_gaps(spark, sf_dir):
     rows = kept.select(
         F.lit("events").alias("event_source"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / 3).alias("offset"),
+        F.expr("event_id div 3").alias("offset"),
     )
     return offset_faults(rows)
 
@@ -285,8 +287,9 @@ def wire_header(spark, sf_dir):
 
 
 def _registered_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema ids that occur in the topics, as a registry table."""
-    return _records(spark, sf_dir).select(wire.schema_id(F.col("value")).alias("schema_id")).distinct()
+    """Schema ids that occur in the topics, kept as a registry table."""
+    ids = _records(spark, sf_dir).select(wire.schema_id(F.col("value")).alias("schema_id")).distinct()
+    return write_snapshot(ids, workspace.fresh_folder(spark, "registry"))
 
 
 @query(

@@ -41,7 +41,7 @@ def topic_records(events: DataFrame, value: Column | None = None) -> DataFrame:
     return events.select(
         F.col("event_type").alias("topic"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / 3).alias("offset"),
+        F.expr("event_id div 3").alias("offset"),
         F.col("ts").alias("timestamp"),
         F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
         (framed_props() if value is None else value).alias("value"),
@@ -323,7 +323,7 @@ def interaction_events(events: DataFrame) -> DataFrame:
                 iso(F.col("ts")).alias("ts"),
             ),
             F.col("event_id") % 3,
-            F.floor(F.col("event_id") / 3),
+            F.expr("event_id div 3"),
         )
     )
 

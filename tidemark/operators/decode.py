@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import wire
+from tidemark.operators.sizing import broadcast_if_small
 from tidemark.session import has_source
 
 
@@ -31,7 +32,8 @@ def decode_frames(
     text = wire.body(column).try_cast("string")
     known: Column = F.col("schema_id").isNotNull()
     if json_schemas is not None:
-        ids = json_schemas.select(F.col("schema_id").alias("_known_id")).distinct()
+        # nearly all rows share a few ids: a shuffle on the id would gather them in one task
+        ids = broadcast_if_small(json_schemas.select(F.col("schema_id").alias("_known_id")).distinct())
         out = out.join(ids, F.col("schema_id") == F.col("_known_id"), "left")
         known = F.col("_known_id").isNotNull()
     parsed = F.when(known & F.try_parse_json(text).isNotNull(), text)

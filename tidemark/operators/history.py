@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.settle import settle
 from tidemark.operators.timeline import Timeline
 
 # Fixed value: end of a version that is still valid.
@@ -23,11 +24,14 @@ def detect_changes(
     order: Sequence[str],
     state: Sequence[str],
     timeline: Timeline | None = None,
+    carry_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose state differs from the row before (NULL-safe), plus each key's first row."""
     timeline = timeline or Timeline.of(changes, keys, order)
     seen = timeline.extend(
-        timeline.attach(changes), previous={"_before": F.struct(*[F.col(c) for c in state])}
+        timeline.attach(changes),
+        previous={"_before": F.struct(*[F.col(c) for c in state])},
+        carry_from=carry_from,
     )
     # a struct of state columns is never NULL itself, so NULL means "no row before"
     different = reduce(
@@ -53,10 +57,14 @@ def build_history(
     """
     at = order[0]
     timeline = timeline or Timeline.of(changes, keys, order)
-    rows = timeline.extend(timeline.attach(changes), following={"_next": F.col(at)})
+    changes = timeline.attach(changes)
+    rows = timeline.extend(changes, following={"_next": F.col(at)}, within_slices=True)
     last_of_instant = rows.filter(~F.col("_next").eqNullSafe(F.col(at))).drop("_next")
     compared = [*state, deleted] if deleted else list(state)
-    versions = detect_changes(last_of_instant, keys, order, compared, timeline)
+    # the last row of a slice is the last of its instant, so all rows give the same carry
+    versions = detect_changes(last_of_instant, keys, order, compared, timeline, carry_from=changes)
+    if timeline.cuts is not None:
+        versions = settle(versions, "versions")
     ended = timeline.extend(versions, following={"_end": F.col(at)})
     if deleted:
         ended = ended.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)

@@ -26,8 +26,8 @@ from tidemark.operators.sizing import ONE_TASK_BYTES, input_bytes
 
 ROWS_PER_TASK = 4_000_000
 MAX_HOT_KEYS = 4_096
-MAX_SLICES = 100_000
-QUANTILE_CUTS = 64
+QUANTILE_CUTS = 32
+MAX_SLICES = 200_000
 
 SLICE = "_slice"
 
@@ -85,7 +85,8 @@ class Timeline:
         if largest <= floor:
             return cls(keys, order)
 
-        target = max(limit, total // (MAX_SLICES // 2))
+        # every hot key has QUANTILE_CUTS slices, larger ones one more per ``target`` rows
+        target = max(limit, total // (MAX_SLICES - MAX_HOT_KEYS * QUANTILE_CUTS))
         first = order[0]
         position = _position(F.col(first), df.schema[first].dataType)
         steps = [i / QUANTILE_CUTS for i in range(QUANTILE_CUTS + 1)]
@@ -152,6 +153,8 @@ class Timeline:
         following: Mapping[str, Column] | None = None,
         known: Mapping[str, tuple[Column, Column]] | None = None,
         running: Mapping[str, Column] | None = None,
+        within_slices: bool = False,
+        carry_from: DataFrame | None = None,
     ) -> DataFrame:
         """Add columns computed along the timeline.
 
@@ -159,12 +162,17 @@ class Timeline:
         ``known``: (value, present) - the value at the latest row, this one included, where
         ``present`` holds; the value itself may be NULL.
         ``running``: sum of the value up to and including this row.
+
+        Rows of one ``order[0]`` value are always in one slice, so what only looks at rows of
+        one instant can stay ``within_slices``. ``carry_from`` gives rows with the same
+        carried values as ``df`` that are cheaper to compute.
         """
         previous, following = dict(previous or {}), dict(following or {})
         known, running = dict(known or {}), dict(running or {})
         window = self.window()
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        if self.cuts is None:
+        if self.cuts is None or within_slices:
+            df = self.attach(df)
             return df.withColumns(
                 {
                     **{n: F.lag(v).over(window) for n, v in previous.items()},
@@ -189,7 +197,7 @@ class Timeline:
                 **{n: F.sum(v).over(so_far) for n, v in running.items()},
             }
         )
-        handed = self._handed_over(df, previous, following, known, running)
+        handed = self._handed_over(df if carry_from is None else carry_from, previous, following, known, running)
         joined = local.join(
             F.broadcast(handed), _null_safe_match(self.partition_columns, "_from_"), "left"
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,18 @@ from pyspark.sql.streaming import StreamingQuery
 ALLOWED_LATENESS = "25 minutes"
 
 
+@contextmanager
+def disk_backed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB instead of executor memory."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def deduplicate(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Each key once, as long as its copies arrive within the allowed lateness.
 
