@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark import workspace
 from tidemark.catalog import sql, stand_ins
 from tidemark.catalog.registry import query
 from tidemark.catalog.stand_ins import table
@@ -15,6 +16,8 @@ from tidemark.operators.feeds import combine_feeds, consolidate, forward_fill
 from tidemark.operators.history import build_history, current_versions, detect_changes, range_faults
 from tidemark.operators.ranking import latest_per_key
 from tidemark.schemas import CDC_TABLES
+from tidemark.sources import topics
+from tidemark.streaming.upserts import current_rows, start_upsert
 
 
 def segment_rows(spark, sf_dir) -> DataFrame:
@@ -212,6 +215,22 @@ def merge_upsert(spark, sf_dir):
     return merged.withColumn("changed_at", stamp(F.col("changed_at")))
 
 
+@query(
+    "stream_upsert",
+    f"""
+WITH {sql.SEGMENTS}
+SELECT * EXCLUDE rn FROM (SELECT user_id, segment, lifetime_value, lsn,
+  row_number() OVER (PARTITION BY user_id ORDER BY change_ts DESC, lsn DESC) AS rn FROM segments) WHERE rn = 1
+""",
+)
+def stream_upsert(spark, sf_dir):
+    root = workspace.fresh_folder(spark, "stream-upsert")
+    orders = topics.stream_files(spark, sf_dir, schema=table(spark, sf_dir, "orders").schema, file_glob="orders.parquet")
+    changes = ops.decode_changes(stand_ins.segment_changes(orders), CDC_TABLES["customer_segments"])
+    start_upsert(changes, f"{root}/current", f"{root}/checkpoint", ["user_id"], ops.CHANGE_ORDER, buckets=8).awaitTermination()
+    return current_rows(spark, f"{root}/current", changes.schema).select("user_id", "segment", "lifetime_value", "lsn")
+
+
 # ---- as-of joins ---------------------------------------------------------------------
 
 

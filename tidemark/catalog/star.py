@@ -577,6 +577,24 @@ def gold_revenue_cadence(spark, sf_dir):
     return cadence.withColumn("period_start", F.col("period_start").cast("string"))
 
 
+@query(
+    "gold_revenue_by_supplier",
+    """
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS period_start, s_name AS supplier, count(*) AS orders,
+       cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) AS revenue
+FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
+""",
+)
+def gold_revenue_by_supplier(spark, sf_dir):
+    lineitem, supplier = _t(spark, sf_dir, "lineitem", "supplier")
+    # summed by key first: the name is looked up for one row per day and supplier
+    daily = gold.revenue_cadence(lineitem, "l_shipdate", "l_extendedprice", ["l_suppkey"], "day")
+    named = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("supplier"))
+    return daily.join(named, "l_suppkey", "left").select(
+        F.col("period_start").cast("string").alias("period_start"), "supplier", "orders", "revenue"
+    )
+
+
 @query(
     "gold_retention_funnel",
     """
