@@ -158,6 +158,15 @@ def test_connector_options():
         jdbc.read_options("jdbc:x", "t", split_column="id")
 
 
+def test_missing_avro_package_is_reported(spark):
+    from tidemark.operators.decode import decode_frames
+    from tidemark.session import has_source
+
+    assert has_source(spark, "parquet") and not has_source(spark, "avro") and not has_source(spark, "kafka")
+    with pytest.raises(RuntimeError, match="Avro"):
+        decode_frames(records(spark, 0, 1), avro_schemas={17: '"string"'})
+
+
 def test_missing_broker_package_is_reported(spark):
     with pytest.raises(RuntimeError, match="kafka"):
         topics.read_broker(spark, "t", "host:1")

@@ -11,10 +11,11 @@ from tidemark.catalog.stand_ins import table
 from tidemark.functions.casts import stamp
 from tidemark.functions.keys import state_fingerprint, surrogate_key
 from tidemark.operators import changes as ops
-from tidemark.operators.asof import asof_join
+from tidemark.operators.asof import asof_join, unmatched_rows
 from tidemark.operators.feeds import combine_feeds, consolidate, forward_fill
 from tidemark.operators.history import build_history, current_versions, detect_changes, range_faults
 from tidemark.operators.ranking import latest_per_key
+from tidemark.operators.timeline import Timeline
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources import topics
 from tidemark.streaming.upserts import current_rows, start_upsert
@@ -97,8 +98,6 @@ WHERE rn = 1 OR segment IS DISTINCT FROM before
 """,
 )
 def change_detect(spark, sf_dir):
-    from tidemark.operators.timeline import Timeline
-
     rows = segment_rows(spark, sf_dir)
     timeline = Timeline.of(rows, ["user_id"], ops.CHANGE_ORDER)
     changed = timeline.detach(detect_changes(rows, ["user_id"], ops.CHANGE_ORDER, ["segment"], timeline))
@@ -298,6 +297,22 @@ def orphan_fact_rows(spark, sf_dir):
     )
 
 
+@query(
+    "unmatched_fact_rows",
+    """
+SELECT o_orderpriority AS priority, count(*) AS orders FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY 1
+""",
+)
+def unmatched_fact_rows(spark, sf_dir):
+    # customers in debt are kept out of the dimension
+    known = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("priority"))
+    return unmatched_rows(orders, known, {"o_custkey": "c_custkey"}).groupBy("priority").agg(
+        F.count(F.lit(1)).alias("orders")
+    )
+
+
 # ---- merged feeds --------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from tidemark.functions.casts import exact_sum, stamp
 from tidemark.operators import changes as ops
 from tidemark.operators import upkeep
 from tidemark.plans import analytics
-from tidemark.sources.tables import append_rows, read_table, with_month, write_snapshot
+from tidemark.sources.tables import append_rows, read_table, register_views, with_month, write_snapshot
 
 
 def _t(spark, sf_dir, *names):
@@ -184,6 +184,26 @@ def monthly_trends(spark, sf_dir):
     return analytics.monthly_trend(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
 
 
+@query(
+    "monthly_trends_sql",
+    """
+SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS order_count,
+       cast(sum(cast(o_totalprice AS decimal(18,2))) AS double) AS total_revenue
+FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2
+""",
+)
+def monthly_trends_sql(spark, sf_dir):
+    register_views(spark, {"lake_orders": table(spark, sf_dir, "orders")})
+    return spark.sql(
+        """
+        SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS order_count,
+               double(sum(cast(o_totalprice AS decimal(18, 2)))) AS total_revenue
+        FROM lake_orders WHERE o_orderstatus <> 'P'
+        GROUP BY year(o_orderdate), month(o_orderdate) ORDER BY year, month
+        """
+    )
+
+
 @query(
     "customer_order_top10",
     """

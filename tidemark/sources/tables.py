@@ -106,6 +106,12 @@ def publish(
     spark.catalog.refreshTable(table)
 
 
+def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+    """Make DataFrames visible to ``spark.sql`` under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
