@@ -18,7 +18,7 @@ from tidemark.operators.ranking import latest_per_key
 from tidemark.operators.timeline import Timeline
 from tidemark.plans import dimensions, facts, gold, star
 from tidemark.schemas import CDC_TABLES
-from tidemark.sources.tables import write_snapshot
+from tidemark.sources.tables import side_by_side, write_snapshot
 
 
 def _t(spark, sf_dir, *names):
@@ -57,7 +57,9 @@ def calendar(spark, sf_dir) -> DataFrame:
 def _staged(spark, *tables: DataFrame) -> list[DataFrame]:
     """Dimensions written once; facts look them up in the written tables."""
     root = workspace.fresh_folder(spark, "dimensions")
-    return [write_snapshot(df, f"{root}/{number}") for number, df in enumerate(tables)]
+    return side_by_side(
+        [lambda df=df, number=number: write_snapshot(df, f"{root}/{number}") for number, df in enumerate(tables)]
+    )
 
 
 def _shown_dimension(dim: DataFrame, prefix: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -45,6 +47,14 @@ def _stored(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
     return T.StructType(fields + [df.schema[c] for c in partition_by])
 
 
+def side_by_side(tasks: Sequence[Callable[[], DataFrame]], at_once: int = 4) -> list[DataFrame]:
+    """Run independent builds at the same time, so one's last tasks overlap the next one's."""
+    with_properties = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(with_properties(task)) for task in tasks]
+        return [r.result() for r in running]
+
+
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = _gather(df, partition_by).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
