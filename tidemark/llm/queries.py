@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import quality_rules
+from tidemark.llm import packing, quality_rules
 from tidemark.llm.tables import read
 from tidemark.session import prepare
 
@@ -79,3 +79,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and rule verdict of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.measure(docs).drop("text")
+
+
+@register("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token of every document at its place in a sequence of at most 2,048 tokens."""
+    return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
