@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import packing, quality_rules
-from tidemark.llm.tables import read
+from tidemark.llm import packing, quality_rules, simhash
+from tidemark.llm.tables import read, ship_code
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def add(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_code(spark)
             return function(prepare(spark), sf_dir)
 
         QUERIES[name] = run
@@ -85,3 +86,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token of every document at its place in a sequence of at most 2,048 tokens."""
     return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op10_simhash_components")
+def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest id that links reach from it."""
+    groups = simhash.group_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

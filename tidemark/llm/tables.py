@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import workspace
@@ -40,3 +44,16 @@ def crc32_remainder(column: Column | str, modulus: int) -> Column:
 
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, ASCII_UPPER, ASCII_UPPER.lower())
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed on the executors."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
