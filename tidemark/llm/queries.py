@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import packing, quality_rules, simhash
-from tidemark.llm.tables import read, ship_code
+from tidemark.llm import language, packing, quality_rules, simhash
+from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,12 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest id that links reach from it."""
     groups = simhash.group_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; the fold of remainder 1 is held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", crc32_remainder("doc_id", 3) == 1)
+    filters = language.learn(docs.filter(~F.col("held_out")))
+    return language.identify(docs.select("doc_id", "text", "held_out"), filters).drop("text")
