@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import language, packing, quality_rules, simhash
+from tidemark.llm import language, minhash, packing, quality_rules, simhash
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -102,3 +102,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", crc32_remainder("doc_id", 3) == 1)
     filters = language.learn(docs.filter(~F.col("held_out")))
     return language.identify(docs.select("doc_id", "text", "held_out"), filters).drop("text")
+
+
+@register("op4_minhash_fingerprints")
+def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited form, with likeness to it and to the next text."""
+    return minhash.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
