@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import language, minhash, packing, quality_rules, simhash
+from tidemark.llm import gru_lm, language, minhash, packing, quality_rules, simhash
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -108,3 +108,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited form, with likeness to it and to the next text."""
     return minhash.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op8_gru_lm")
+def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and recurrent model's log10 probability of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc32_remainder("doc_id", 10) == 0
+    vocabulary, model, counts = gru_lm.learn(docs.filter(~held_out))
+    return gru_lm.score(docs, vocabulary, model, counts).withColumn("held_out", held_out)
