@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import gru_lm, language, minhash, packing, quality_rules, simhash
+from tidemark.llm import gru_lm, language, minhash, packing, quality_rules, quality_trees, simhash
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -117,3 +117,12 @@ def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc32_remainder("doc_id", 10) == 0
     vocabulary, model, counts = gru_lm.learn(docs.filter(~held_out))
     return gru_lm.score(docs, vocabulary, model, counts).withColumn("held_out", held_out)
+
+
+@register("op3_quality_trees")
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; the fold of remainder 0 is held out."""
+    held_out = crc32_remainder("doc_id", 5) == 0
+    rows = quality_trees.described(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    return quality_trees.classify(rows, quality_trees.learn(rows, labels)).withColumn("held_out", held_out)

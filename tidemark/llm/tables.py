@@ -36,6 +36,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df if splits >= cores else df.repartition(cores)
 
 
+HASH_STEPS = 1 << 40
+
+
+def hash_share(key: str, share: Column) -> Column:
+    """Whether a row belongs to about the given share of keys, by hash."""
+    return F.pmod(F.xxhash64(key), F.lit(HASH_STEPS)) < share * F.lit(float(HASH_STEPS))
+
+
+def least_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most so many rows, those of smallest hash of the key.
+
+    About twice as many pass a cut of the hash first, so that no task sorts more than that,
+    however many tasks the rows come from.
+    """
+    total = rows.count()
+    near = rows.filter(hash_share(key, F.lit(2.0 * most / total))) if total > 2 * most else rows
+    return near.orderBy(F.xxhash64(key), *near.columns).limit(most)
+
+
 def crc32_remainder(column: Column | str, modulus: int) -> Column:
     """crc32 of the id's decimal text, as the folds of the contracts are cut."""
     column = F.col(column) if isinstance(column, str) else column
