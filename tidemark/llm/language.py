@@ -25,10 +25,10 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.tables import spread
+from tidemark.llm.tables import hash_share, spread
 
 UNDETERMINED = "und"
 SIZES = (3, 4, 5)
@@ -131,12 +131,16 @@ def _positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """At most so many documents of each language, by hash of their id."""
-    from pyspark.sql import Window
+def _sample(docs: DataFrame, frequency: dict[str, int], per_language: int) -> DataFrame:
+    """At most so many documents of each language, by hash of their id.
 
+    About twice as many pass a cut of the hash before they are ranked, so that ranking one
+    language stays small in its task.
+    """
+    shares = F.create_map(*[F.lit(x) for name, n in frequency.items() for x in (name, min(1.0, 2.0 * per_language / n))])
+    near = docs.select("doc_id", "lang").filter(hash_share("doc_id", shares[F.col("lang")]))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
+    ids = near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
     ids = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     # bounded by the sample size; a hint, as the optimizer cannot know the bound
     return docs.join(F.broadcast(ids), (docs["doc_id"] == ids["_id"]) & (docs["lang"] == ids["_lang"]), "left_semi")
@@ -148,6 +152,8 @@ def learn(training: DataFrame, per_language: int = SAMPLE_DOCS) -> Filters:
         "text is not null and lang is not null and doc_id is not null"
     )
     frequency = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not frequency:
+        return Filters.build((), np.empty(0, np.uint64), np.empty((0, 0), bool))
     languages = sorted(frequency, key=lambda name: (-frequency[name], name))
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,7 +165,7 @@ def learn(training: DataFrame, per_language: int = SAMPLE_DOCS) -> Filters:
                     yield pd.DataFrame({"lang": lang, "gram": values.view(np.int64), "n": n})
 
     seen = (
-        _sample(rows, per_language)
+        _sample(rows, frequency, per_language)
         .select("lang", "text")
         .repartition(rows.sparkSession.sparkContext.defaultParallelism)
         .mapInPandas(gather, "lang string, gram long, n long")
