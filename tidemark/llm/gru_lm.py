@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import spread, stage
+from tidemark.llm.tables import least_by_hash, spread, stage
 
 KNOWN_WORDS = 200_000
 HEAD_WORDS = 1_000
@@ -136,7 +136,14 @@ class Vocabulary:
 def learn_vocabulary(counts: DataFrame, documents: int, known: int = KNOWN_WORDS, head: int = HEAD_WORDS) -> Vocabulary:
     """``counts``: staged word counts. What reaches the driver is bounded by ``known`` and ``ENDINGS``."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(known).toPandas()
+    # words of about the wanted frequency and more, so that no task sorts many times as many
+    sizes = counts.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.count(F.lit(1)).alias("types")).collect()
+    least, found = 0, 0
+    for size, types in sorted(sizes, reverse=True):
+        least, found = size, found + types
+        if found >= known:
+            break
+    top = counts.filter(F.col("n") >= 1 << least).orderBy(F.desc("n"), "word").limit(known).toPandas()
     words = [bytes(w) for w in top["word"]]
     n = top["n"].to_numpy(dtype=np.int64)
     head = min(head, len(words))
@@ -377,8 +384,7 @@ def learn(training: DataFrame) -> tuple[Vocabulary, Model, DataFrame]:
                 rows.append((doc_id, at, np.array([v.tail(w) for w in words], dtype=np.int64)))
             yield pd.DataFrame(rows, columns=["doc_id", "places", "tails"])
 
-    ids = training.filter("doc_id is not null").select("doc_id").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    ids = least_by_hash(training.filter("doc_id is not null").select("doc_id"), "doc_id", SAMPLE_DOCS).distinct()
     sample = _texts(training).join(F.broadcast(ids), "doc_id", "left_semi")  # bounded by SAMPLE_DOCS
     rows = sample.repartition(8).mapInPandas(stretch, "doc_id long, places array<long>, tails array<long>").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
