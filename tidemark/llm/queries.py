@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import gru_lm, language, minhash, packing, quality_rules, quality_trees, simhash
+from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, simhash
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -126,3 +126,9 @@ def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_trees.described(read(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
     return quality_trees.classify(rows, quality_trees.learn(rows, labels)).withColumn("held_out", held_out)
+
+
+@register("op1_html_template")
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_template.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
