@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, simhash
+from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, simhash, url_lists
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -132,3 +134,102 @@ def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_template.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def _number(text: str, modulus: int) -> str:
+    """A number below the modulus from a text, in Spark SQL."""
+    return f"cast(conv(substr(md5({text}), 1, 7), 16, 10) as int) % {modulus}"
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time of the year, from the page's number."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    return pages.select("page_id", "url", day.cast("timestamp").alias("fetched_at"))
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries for the hosts, parent domains and first path segments that pages have."""
+    seen = pages.select(
+        url_lists.plain_host(F.col("url")).alias("host"),
+        F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1).alias("segment"),
+    ).filter("host <> ''")
+    hosts = seen.select("host").distinct()
+    sections = seen.filter("segment <> ''").select(F.concat("host", F.lit("/"), "segment").alias("host")).distinct()
+    parents = hosts.select(F.regexp_replace("host", r"^[^.]*\.", "").alias("host")).filter("host like '%.%.%'").distinct()
+
+    def entry(of: DataFrame, name: str, action: str, verdict: str, first: int, among: int, keep: str) -> DataFrame:
+        day = f"date_add(date'2024-01-01', {first} + {_number('host', among)})"
+        return of.filter(keep).select(
+            F.lit(name).alias("list_name"), F.col("host").alias("pattern"), F.lit(action).alias("action"),
+            F.lit(verdict).alias("verdict"), F.expr(f"cast({day} as timestamp)").alias("listed_at"),
+        )
+
+    some, few = _number("concat(host, 'a')", 3) + " = 0", _number("concat(host, 'b')", 4) + " = 0"
+    parts = [
+        entry(hosts, "hosts", "add", "block", 0, 100, some),
+        entry(hosts, "hosts", "remove", "block", 130, 40, some),
+        entry(hosts, "hosts", "add", "block", 220, 60, some),
+        entry(parents, "domains", "add", "block", 60, 30, "true"),
+        entry(parents, "domains", "remove", "block", 150, 30, "true"),
+        entry(sections, "sections", "add", "allow", 40, 200, few),
+        entry(sections, "sections", "remove", "allow", 260, 60, few),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _entries_sql() -> str:
+    def number(text: str, modulus: int) -> str:
+        return f"(('0x' || substr(md5({text}), 1, 7))::INT % {modulus})"
+
+    some, few = number("host || 'a'", 3) + " = 0", number("host || 'b'", 4) + " = 0"
+    rows = [
+        ("hosts", "hosts", "add", "block", 0, 100, some), ("hosts", "hosts", "remove", "block", 130, 40, some),
+        ("hosts", "hosts", "add", "block", 220, 60, some), ("parents", "domains", "add", "block", 60, 30, "true"),
+        ("parents", "domains", "remove", "block", 150, 30, "true"),
+        ("sections", "sections", "add", "allow", 40, 200, few), ("sections", "sections", "remove", "allow", 260, 60, few),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS list_name, host AS pattern, '{action}' AS action, '{verdict}' AS verdict, "
+        f"(DATE '2024-01-01' + {first} + {number('host', among)})::TIMESTAMP AS listed_at FROM {of} WHERE {keep}"
+        for of, name, action, verdict, first, among, keep in rows
+    )
+
+
+OP2_SQL = rf"""
+WITH captures AS (
+    SELECT page_id, url, (DATE '2024-01-01' + (page_id % 365)::INT)::TIMESTAMP AS fetched_at,
+           lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host,
+           list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'),
+                       lambda s: s <> '') AS segments
+    FROM pages
+), hosts AS (
+    SELECT DISTINCT host FROM captures WHERE host <> ''
+), sections AS (
+    SELECT DISTINCT host || '/' || segments[1] AS host FROM captures WHERE host <> '' AND len(segments) > 0
+), parents AS (
+    SELECT DISTINCT regexp_replace(host, '^[^.]*\.', '') AS host FROM hosts WHERE regexp_replace(host, '^[^.]*\.', '') LIKE '%.%.%'
+), entries AS (
+    {_entries_sql()}
+), intervals AS (
+    SELECT * FROM (
+        SELECT *, lead(listed_at) OVER (PARTITION BY list_name, pattern ORDER BY listed_at) AS until FROM entries
+    ) WHERE action = 'add'
+), found AS (
+    SELECT c.page_id, i.*, row_number() OVER (
+        PARTITION BY c.page_id ORDER BY length(pattern) DESC, listed_at DESC, list_name
+    ) AS place
+    FROM captures c JOIN intervals i
+      ON ((c.host || '/' || array_to_string(c.segments, '/') || '/') LIKE (i.pattern || '/%')
+          OR (c.host || '/' || array_to_string(c.segments, '/') || '/') LIKE ('%.' || i.pattern || '/%'))
+     AND i.listed_at <= c.fetched_at AND (i.until IS NULL OR c.fetched_at < i.until)
+)
+SELECT c.page_id, c.url, c.fetched_at, coalesce(f.verdict, 'none') AS verdict, f.list_name, f.pattern, f.listed_at
+FROM captures c LEFT JOIN found f ON f.page_id = c.page_id AND f.place = 1
+"""
+
+
+@register("op2_url_lists", OP2_SQL)
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page capture against the list entries that were active when it was fetched."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lists.evaluate(_captures(pages), _list_entries(pages))
