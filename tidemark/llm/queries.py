@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, simhash, url_lists
+from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, segmentation, simhash, url_lists
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -233,3 +233,9 @@ def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page capture against the list entries that were active when it was fetched."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_lists.evaluate(_captures(pages), _list_entries(pages))
+
+
+@register("op7_nbest_segmentation")
+def op7_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best piece ids, the best scores and the round trip of every document."""
+    return segmentation.segment_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
