@@ -1,8 +1,8 @@
 """Connected components of a link table, by alternating large-star and small-star rounds.
 
 Every round is written to the shared folder, so lost executors never replay earlier rounds.
-A node with very many links is only ever the key of an aggregate or of a join whose other side
-has one row for it, which adaptive execution splits.
+A node with very many links is only ever the key of an aggregate or of a join whose other side is
+a written table with one row for it; adaptive execution can split such a join's large side.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ def _state(links: DataFrame) -> tuple[int, int]:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("high", "low").union(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
-    least = both.groupBy("high").agg(F.least(F.col("high"), F.min("low")).alias("least"))
+    least = stage(both.groupBy("high").agg(F.least(F.col("high"), F.min("low")).alias("least")), "least")
     return (
         both.filter("low > high")
         .join(least, "high")
@@ -33,7 +33,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("high").agg(F.min("low").alias("least"))
+    least = stage(links.groupBy("high").agg(F.min("low").alias("least")), "least")
     joined = links.join(least, "high")
     return (
         joined.select(F.col("low").alias("high"), F.col("least").alias("low"))
