@@ -25,7 +25,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.tables import hash_share, spread
@@ -185,22 +185,25 @@ def learn(training: DataFrame, per_language: int = SAMPLE_DOCS) -> Filters:
     return Filters.build(languages, found["gram"].to_numpy(dtype=np.int64).view(np.uint64), members)
 
 
-def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Adds the predicted language and its score to every row. The filter's size is fixed."""
-    shared = docs.sparkSession.sparkContext.broadcast(filters)
+def _predictor(spark: SparkSession, filters: Filters):
+    """Language and score of a text column. The filter's size is fixed."""
+    shared = spark.sparkContext.broadcast(filters)
 
     @pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"], index=texts.index)
 
+    return predict(F.col("text").cast("string"))
+
+
+def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Adds the predicted language and its score to every row."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (lang, score)]
-    rows = spread(docs).withColumn("_found", predict(F.col("text").cast("string")))
+    rows = spread(docs).select(*others, _predictor(docs.sparkSession, filters).alias("_found"))
     return rows.select(*others, F.col("_found.lang").alias(lang), F.col("_found.score").alias(score))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Documents in a language that the training rows know, with their own columns."""
     filters = learn(docs)
-    return identify(docs, filters, "_lang_pred", "_lang_score").filter(F.col("_lang_pred") != UNDETERMINED).drop(
-        "_lang_pred", "_lang_score"
-    )
+    return spread(docs).filter(_predictor(docs.sparkSession, filters)["lang"] != UNDETERMINED)
