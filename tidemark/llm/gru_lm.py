@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.tables import least_by_hash, spread, stage
 
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 HEAD_WORDS = 1_000
 CLASS_WORDS = 50
-ENDINGS = 160
+ENDINGS = 100
 STATE = 24
 ADDED = 0.1
 
-SAMPLE_DOCS = 3_000
+SAMPLE_DOCS = 1_500
 STRETCH = 512
 STREAMS = 64
 WINDOW = 16
@@ -51,7 +51,7 @@ RATE = 0.01
 SEED = 7
 
 COUNTED_AT_ONCE = 500_000
-STATES_AT_ONCE = 8_192
+STATES_AT_ONCE = 2_048
 
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MARKS = b".,;:!?|()\"'*#$%&"
@@ -267,6 +267,7 @@ def train(v: Vocabulary, stretches: list[tuple[np.ndarray, np.ndarray, np.ndarra
             steps += 1
             scale = RATE / (1 + steps / 2_000) * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)
             for p, g, m, s in zip(parts, grads, first, second):
+                np.clip(g, -0.1, 0.1, out=g)
                 m *= 0.9
                 m += 0.1 * g
                 s *= 0.999
@@ -321,8 +322,6 @@ def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh) -> tuple[li
         np.add.at(g_inputs, token[:, t], np.concatenate((gates, d_new), axis=1))
         behind = back * (1 - update) + d_gated * reset + gates @ model.recur.T
         behind = np.where(fresh[:, t : t + 1], np.float32(0), behind)
-    for g in grads:
-        np.clip(g, -0.1, 0.1, out=g)
     return grads, h
 
 
