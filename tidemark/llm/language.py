@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.tables import hash_share, spread
+from tidemark.llm.tables import hash_place, hash_share, spread, unused
 
 UNDETERMINED = "und"
 SIZES = (3, 4, 5)
@@ -139,7 +139,7 @@ def _sample(docs: DataFrame, frequency: dict[str, int], per_language: int) -> Da
     """
     shares = F.create_map(*[F.lit(x) for name, n in frequency.items() for x in (name, min(1.0, 2.0 * per_language / n))])
     near = docs.select("doc_id", "lang").filter(hash_share("doc_id", shares[F.col("lang")]))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = Window.partitionBy("lang").orderBy(hash_place("doc_id"), "doc_id")
     ids = near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
     ids = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     # bounded by the sample size; a hint, as the optimizer cannot know the bound
@@ -199,8 +199,9 @@ def _predictor(spark: SparkSession, filters: Filters):
 def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """Adds the predicted language and its score to every row."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (lang, score)]
-    rows = spread(docs).select(*others, _predictor(docs.sparkSession, filters).alias("_found"))
-    return rows.select(*others, F.col("_found.lang").alias(lang), F.col("_found.score").alias(score))
+    found = unused(docs, "_found")
+    rows = spread(docs).select(*others, _predictor(docs.sparkSession, filters).alias(found))
+    return rows.select(*others, F.col(found)["lang"].alias(lang), F.col(found)["score"].alias(score))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

@@ -29,6 +29,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out when the input has fewer splits than cores and is worth splitting."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -39,9 +47,14 @@ def spread(df: DataFrame) -> DataFrame:
 HASH_STEPS = 1 << 40
 
 
+def hash_place(key: str) -> Column:
+    """A key's place in a fixed shuffled order."""
+    return F.pmod(F.xxhash64(key), F.lit(HASH_STEPS))
+
+
 def hash_share(key: str, share: Column) -> Column:
     """Whether a row belongs to about the given share of keys, by hash."""
-    return F.pmod(F.xxhash64(key), F.lit(HASH_STEPS)) < share * F.lit(float(HASH_STEPS))
+    return hash_place(key) < share * F.lit(float(HASH_STEPS))
 
 
 def least_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
@@ -52,7 +65,7 @@ def least_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     """
     total = rows.count()
     near = rows.filter(hash_share(key, F.lit(2.0 * most / total))) if total > 2 * most else rows
-    return near.orderBy(F.xxhash64(key), *near.columns).limit(most)
+    return near.orderBy(hash_place(key), *near.columns).limit(most)
 
 
 def crc32_remainder(column: Column | str, modulus: int) -> Column:
@@ -68,8 +81,14 @@ def lower_ascii(column: Column) -> Column:
 _shipped: set[str] = set()
 
 
+# Rows of an Arrow batch: some MB of text, however many rows a partition has.
+BATCH_ROWS = 2_500
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed on the executors."""
+    """Let Python workers import this package where it is not installed on the executors, and keep
+    the batches they get small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
