@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.tables import SPACES
+from tidemark.llm.tables import SPACES, unused
 
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -181,9 +181,8 @@ def measure(docs: DataFrame, text: str = "text", thresholds=THRESHOLDS) -> DataF
     )
     names = (*MEASURES, "base_failed", "kept")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    return docs.select(*others, rated.alias("_rated")).select(
-        *others, *[F.col("_rated")[n].alias(n) for n in names]
-    )
+    found = unused(docs, "_rated")
+    return docs.select(*others, rated.alias(found)).select(*others, *[F.col(found)[n].alias(n) for n in names])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -17,16 +17,16 @@ Defined results: captures with NULL or unreadable URL or NULL time match nothing
 an addition of what is listed already starts a new interval with its own verdict; a removal of what
 is not listed does nothing; several entries of one pattern, list and time count as the last by
 (action, verdict), so an addition does not survive a removal of the same time; repeated captures
-are each evaluated; entries with NULL in pattern, list, action or time are ignored; empty tables
-give captures without a verdict; extra columns of captures are kept unless their names are those
-of the result.
+are each evaluated; entries with NULL in pattern, list, action or time are ignored; without entries
+every verdict is ``none``; extra columns of captures are kept unless their names are those of the
+result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.tables import stage
+from tidemark.llm.tables import stage, unused
 
 ADD, REMOVE = "add", "remove"
 PATH_SEGMENTS = 2
@@ -91,13 +91,14 @@ def by_month(intervals: DataFrame, last: Column) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_at") -> DataFrame:
     """Adds ``verdict`` (``none`` if nothing was active), ``list_name``, ``pattern`` and ``listed_at``."""
     kept = [F.col(f"`{c}`") for c in captures.columns if c not in RESULT]
-    rows = captures.select(*kept).withColumn("_time", F.col(f"`{fetched}`").cast("timestamp"))
+    time = unused(captures, "_time")
+    rows = captures.select(*kept).withColumn(time, F.col(f"`{fetched}`").cast("timestamp"))
     # open intervals need no month beyond the last capture
-    last = rows.agg(F.max("_time").cast("date").alias("last")).first()["last"]
+    last = rows.agg(F.max(time).cast("date").alias("last")).first()["last"]
     # written once, so that both sides of the joins come from plain exchanges that can be split
     listed = stage(by_month(validity(entries), F.lit(last).cast("date")), "listed")
     asked = (
-        rows.select(F.col(f"`{url}`").alias("_url"), F.col("_time").alias("_at"))
+        rows.select(F.col(f"`{url}`").alias("_url"), F.col(time).alias("_at"))
         .filter("_at is not null")
         .distinct()
         .select("_url", "_at", F.explode(keys_of(F.col("_url"))).alias("pattern"), F.trunc("_at", "MM").alias("month"))
@@ -110,7 +111,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
             "active", lambda e: (e["listed_at"] <= F.col("_at")) & (e["until"].isNull() | (F.col("_at") < e["until"]))
         ).alias("active"),
     )
-    # smallest list name among equals: names are compared through their complement's order
+    # of equals the smallest list name: its rank counts backwards
     best = F.max_by(
         F.struct("_e.verdict", "_e.list_name", "pattern", "_e.listed_at"),
         F.struct(F.length("pattern"), F.col("_e.listed_at"), -F.col("_rank"), F.coalesce("_e.verdict", F.lit(""))),
@@ -119,11 +120,14 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     active = found.select("_url", "_at", "pattern", F.explode("active").alias("_e"))
     decided = active.withColumn("_rank", F.dense_rank().over(ranks)).groupBy("_url", "_at").agg(best.alias("_best"))
     decided = stage(decided, "decided")
-    joined = rows.join(decided, (rows["_time"] == decided["_at"]) & (rows[url] == decided["_url"]), "left")
+    asked_url, asked_at, entry = unused(rows, "_url"), unused(rows, "_at"), unused(rows, "_best")
+    decided = decided.withColumnsRenamed({"_url": asked_url, "_at": asked_at, "_best": entry})
+    joined = rows.join(decided, (F.col(f"`{time}`") == F.col(asked_at)) & (F.col(f"`{url}`") == F.col(asked_url)), "left")
+    found_entry = F.col(entry)
     return joined.select(
         *kept,
-        F.coalesce(F.col("_best.verdict"), F.lit("none")).alias("verdict"),
-        F.col("_best.list_name").alias("list_name"),
-        F.col("_best.pattern").alias("pattern"),
-        F.col("_best.listed_at").alias("listed_at"),
+        F.coalesce(found_entry["verdict"], F.lit("none")).alias("verdict"),
+        found_entry["list_name"].alias("list_name"),
+        found_entry["pattern"].alias("pattern"),
+        found_entry["listed_at"].alias("listed_at"),
     )
