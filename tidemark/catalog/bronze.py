@@ -228,17 +228,17 @@ def topic_message_count(spark, sf_dir):
     "offset_gaps",
     """
 WITH rows AS (
-  SELECT event_id % 3 AS partition, event_id // 3 AS o,
-         lead(event_id // 3) OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS n
-  FROM events WHERE event_id % 97 <> 0)
-SELECT 'events' AS event_source, partition, o AS "offset", n AS next_offset, n - o - 1 AS missing
+  SELECT event_type, event_id % 3 AS partition, event_id // 3 AS o,
+         lead(event_id // 3) OVER (PARTITION BY event_type, event_id % 3 ORDER BY event_id) AS n
+  FROM events)
+SELECT event_type AS event_source, partition, o AS "offset", n AS next_offset, n - o - 1 AS missing
 FROM rows WHERE n - o - 1 <> 0
 """,
 )
 def offset_gaps(spark, sf_dir):
-    kept = _events(spark, sf_dir).filter("event_id % 97 <> 0")
-    rows = kept.select(
-        F.lit("events").alias("event_source"),
+    # numbers are dealt over all events, so those of one type have gaps
+    rows = _events(spark, sf_dir).select(
+        F.col("event_type").alias("event_source"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
         F.expr("event_id div 3").alias("offset"),
     )
@@ -327,7 +327,7 @@ def wire_decode_quarantine(spark, sf_dir):
     """
 WITH sizes AS (
   SELECT event_type, strlen(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'props': props})) AS j,
-         18 + strlen(event_type) + strlen(props) AS b
+         strlen(props) + 5 + strlen(cast(user_id AS varchar)) AS b
   FROM events)
 SELECT event_type AS event_source, cast(sum(j) AS bigint) AS json_bytes, cast(sum(b) AS bigint) AS binary_bytes,
        100.0::double * (sum(j) - sum(b))::double / sum(j)::double AS saved_percent
@@ -335,12 +335,14 @@ FROM sizes GROUP BY 1
 """,
 )
 def encoding_savings(spark, sf_dir):
+    # bytes of the row as JSON, and of the framed message with its key as it is carried
     text = F.octet_length(F.to_json(F.struct("event_id", "user_id", "event_type", "props")))
-    # two 8-byte numbers, and a length byte before each of two texts
-    binary = F.lit(18) + F.octet_length("event_type") + F.octet_length("props")
-    sizes = _events(spark, sf_dir).groupBy(F.col("event_type").alias("event_source")).agg(
-        F.sum(text.cast("bigint")).alias("json_bytes"), F.sum(binary.cast("bigint")).alias("binary_bytes")
+    events = _events(spark, sf_dir).groupBy(F.col("event_type").alias("event_source")).agg(
+        F.sum(text.cast("bigint")).alias("json_bytes")
     )
+    carried = (F.octet_length("value") + F.octet_length("key")).cast("bigint")
+    messages = _records(spark, sf_dir).groupBy(F.col("topic").alias("event_source")).agg(F.sum(carried).alias("binary_bytes"))
+    sizes = events.join(messages, "event_source")
     saved = F.lit(100.0) * (F.col("json_bytes") - F.col("binary_bytes")).cast("double") / F.col("json_bytes").cast("double")
     return sizes.withColumn("saved_percent", saved)
 

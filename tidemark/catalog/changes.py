@@ -300,16 +300,16 @@ def orphan_fact_rows(spark, sf_dir):
 @query(
     "unmatched_fact_rows",
     """
-SELECT o_orderpriority AS priority, count(*) AS orders FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY 1
+SELECT event_type, count(*) AS events FROM events
+WHERE user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY 1
 """,
 )
 def unmatched_fact_rows(spark, sf_dir):
-    # customers in debt are kept out of the dimension
-    known = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
-    orders = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("priority"))
-    return unmatched_rows(orders, known, {"o_custkey": "c_custkey"}).groupBy("priority").agg(
-        F.count(F.lit(1)).alias("orders")
+    # users of events that are no customers
+    known = table(spark, sf_dir, "customer")
+    events = table(spark, sf_dir, "events").select("user_id", "event_type")
+    return unmatched_rows(events, known, {"user_id": "c_custkey"}).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events")
     )
 
 

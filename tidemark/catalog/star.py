@@ -600,7 +600,7 @@ def gold_revenue_by_supplier(spark, sf_dir):
 @query(
     "gold_retention_funnel",
     """
-WITH u AS (SELECT user_id, date_trunc('week', min(ts)) AS cohort, bool_or(event_type = 'view') AS e, bool_or(event_type = 'purchase') AS p FROM events GROUP BY 1),
+WITH u AS (SELECT user_id, date_trunc('day', min(ts)) AS cohort, bool_or(event_type = 'view') AS e, bool_or(event_type = 'purchase') AS p FROM events GROUP BY 1),
 c AS (SELECT strftime(cohort, '%Y-%m-%d') AS cohort, count(*) AS users, count(*) FILTER (e) AS engaged_users, count(*) FILTER (e AND p) AS converted_users FROM u GROUP BY 1)
 SELECT *, CASE WHEN engaged_users > 0 THEN converted_users::double / engaged_users::double END AS conversion_rate FROM c
 """,
@@ -608,7 +608,7 @@ SELECT *, CASE WHEN engaged_users > 0 THEN converted_users::double / engaged_use
 def gold_retention_funnel(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     funnel = gold.cohort_conversion(
-        events, "user_id", "ts", F.col("event_type") == "view", F.col("event_type") == "purchase"
+        events, "user_id", "ts", F.col("event_type") == "view", F.col("event_type") == "purchase", grain="day"
     )
     return funnel.withColumn("cohort", F.col("cohort").cast("string"))
 

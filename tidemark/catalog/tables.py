@@ -189,7 +189,7 @@ def monthly_trends(spark, sf_dir):
     """
 SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS order_count,
        cast(sum(cast(o_totalprice AS decimal(18,2))) AS double) AS total_revenue
-FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2
+FROM orders GROUP BY 1, 2
 """,
 )
 def monthly_trends_sql(spark, sf_dir):
@@ -198,7 +198,7 @@ def monthly_trends_sql(spark, sf_dir):
         """
         SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS order_count,
                double(sum(cast(o_totalprice AS decimal(18, 2)))) AS total_revenue
-        FROM lake_orders WHERE o_orderstatus <> 'P'
+        FROM lake_orders
         GROUP BY year(o_orderdate), month(o_orderdate) ORDER BY year, month
         """
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,7 +37,7 @@ def decode_frames(
         ids = broadcast_if_small(json_schemas.select(F.col("schema_id").alias("_known_id")).distinct())
         out = out.join(ids, F.col("schema_id") == F.col("_known_id"), "left")
         known = F.col("_known_id").isNotNull()
-    parsed = F.when(known & F.try_parse_json(text).isNotNull(), text)
+    parsed = F.when(known & _is_json(text), text)
     if avro_schemas:
         parsed = F.coalesce(_avro_text(records, column, avro_schemas), parsed)
         known = known | F.col("schema_id").isin(*avro_schemas)
@@ -52,6 +53,16 @@ def decode_frames(
     return out.withColumn("decode_status", status).drop("_known_id")
 
 
+def _is_json(text: Column) -> Column:
+    """Whether a text is one JSON value.
+
+    The variant parser refuses some valid bodies (repeated keys, bodies beyond its size limit).
+    Those count if the streaming parser reads an object or array that the text also ends with.
+    """
+    enclosed = F.rlike(text, F.lit(r"(?s)^\s*(\{.*\}|\[.*\])\s*$"))
+    return F.try_parse_json(text).isNotNull() | (enclosed & F.get_json_object(text, "$").isNotNull())
+
+
 def _avro_text(records: DataFrame, value: Column, schemas: Mapping[int, str]) -> Column:
     if not has_source(records.sparkSession, "avro"):
         raise RuntimeError("Avro bodies need the spark-avro package on the class path")
@@ -89,7 +100,17 @@ def to_bronze(records: DataFrame, **schemas) -> DataFrame:
 def infer_payload_schema(bronze: DataFrame, column: str = "json_payload") -> str:
     """DDL of the payload, merged over all rows by a distributed aggregate."""
     merged = bronze.select(F.expr(f"schema_of_variant_agg(try_parse_json({column}))")).first()[0]
-    return merged.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    return _as_ddl(merged) if merged and merged != "VOID" else "STRUCT<>"
+
+
+# a quoted name, a plain name before its colon, or a type that DDL spells differently
+_NAME_OR_TYPE = re.compile(r"(`(?:[^`]|``)*`|[^\s<>,:`]+(?=\s*:))|\bOBJECT<|\bVOID\b")
+
+
+def _as_ddl(variant_type: str) -> str:
+    """Type of a variant as DDL; only types are respelt, never field names."""
+    spelt = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+    return _NAME_OR_TYPE.sub(lambda found: found[1] or spelt[found[0]], variant_type)
 
 
 def parse_inferred(bronze: DataFrame, column: str = "json_payload") -> DataFrame:

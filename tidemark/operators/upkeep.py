@@ -56,10 +56,13 @@ def compact(
 def retain_recent(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cutoff: Column, keep_at_least: int = 1
 ) -> DataFrame:
-    """Drop rows older than the cutoff, but keep the newest ``keep_at_least`` rows per key."""
+    """Drop rows older than the cutoff, but keep the newest ``keep_at_least`` rows per key.
+
+    Rows without a time cannot be called old and stay.
+    """
     at = F.col(order[0])
-    kept_old = first_n_per_key(df, keys, order, keep_at_least, newest=True).filter(at < cutoff)
-    return df.filter(at >= cutoff).unionByName(kept_old)
+    kept_old = first_n_per_key(df.filter(at.isNotNull()), keys, order, keep_at_least, newest=True).filter(at < cutoff)
+    return df.filter(at.isNull() | (at >= cutoff)).unionByName(kept_old)
 
 
 def only_new_records(

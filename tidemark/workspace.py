@@ -17,12 +17,17 @@ def _local_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is named (tests)."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    """The shared folder the cluster names, in its settings or through the context.
+
+    A local one serves only where driver and executors are one process (tests); elsewhere each
+    executor would write to its own disk, so a missing folder is an error.
+    """
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_local_root())
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors of {master} share")
     return _local_root()
 
 
