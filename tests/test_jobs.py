@@ -3,12 +3,12 @@
 import pytest
 
 from helpers import bronze, change
-from tidemark import jobs
+from tidemark import jobs, workspace
 from tidemark.operators.changes import CHANGE_ORDER, decode_changes
 from tidemark.schemas import BRONZE, CDC_TABLES
-from tidemark.sources.tables import drop_schema, ensure_table
+from tidemark.sources.tables import drop_schema, ensure_table, publish, write_snapshot
 from tidemark.streaming import ingest
-from tidemark.streaming.upserts import current_rows, upsert_batch
+from tidemark.streaming.upserts import compact_upserts, current_rows, upsert_batch
 
 
 def product(ident, price):
@@ -50,14 +50,14 @@ def test_stream_into_a_catalog_table(spark, tmp_path):
     drop_schema(spark, "lake")
 
 
-def test_upsert_rewrites_touched_buckets_only_and_repeats_safely(spark, tmp_path):
+def test_upserts_append_compact_and_repeat_safely(spark, tmp_path):
     path = str(tmp_path / "current")
 
     def rows(*changes):
         return decode_changes(bronze(spark, list(changes)), CDC_TABLES["products"])
 
     def merge(updates, batch):
-        upsert_batch(spark, updates, batch, path, ["product_id"], CHANGE_ORDER, buckets=8)
+        upsert_batch(updates, batch, path, ["product_id"], CHANGE_ORDER)
 
     first = rows(*[change("c", product(f"p{i}", float(i)), "2024-01-01T00:00:00", i, i) for i in range(20)])
     merge(first, 0)
@@ -68,8 +68,58 @@ def test_upsert_rewrites_touched_buckets_only_and_repeats_safely(spark, tmp_path
     )
     for _ in range(2):
         merge(second, 1)
-    current = current_rows(spark, path, first.schema)
-    assert {r.product_id: r.price_usd for r in current.collect()} == {**{f"p{i}": float(i) for i in range(20)}, "p3": 34.0}
-    assert current.filter("batch = 1").select("key_bucket").distinct().count() == 1
-    before = current_rows(spark, path, first.schema, before=1)
-    assert before.filter("product_id = 'p3'").first().price_usd == 3.0 and before.count() == 20
+    keys = (["product_id"], CHANGE_ORDER)
+    expected = {**{f"p{i}": float(i) for i in range(20)}, "p3": 34.0}
+
+    def prices(**at):
+        return {r.product_id: r.price_usd for r in current_rows(spark, path, first.schema, *keys, **at).collect()}
+
+    assert prices() == expected
+    # a batch writes what it brings
+    assert spark.read.parquet(f"{path}/changes/batch=1").count() == 1
+    assert prices(before=1) == {**expected, "p3": 3.0}
+    compact_upserts(spark, path, first.schema, *keys, upto=1)
+    assert prices() == expected
+    merge(rows(change("u", product("p4", 44.0), "2024-01-04T00:00:00", 40, 40)), 2)
+    assert prices() == {**expected, "p4": 44.0}
+    assert prices(before=1) == {**expected, "p3": 3.0}
+
+
+def test_publishing_shows_exactly_the_last_run(spark, tmp_path):
+    drop_schema(spark, "shown")
+    columns = "day int, n long"
+
+    def run(number, rows, by):
+        path = str(tmp_path / f"run-{number}")
+        stored = write_snapshot(spark.createDataFrame(rows, columns), path, by)
+        publish(spark, "shown.fact", path, stored.schema)
+        return sorted(map(tuple, spark.table("shown.fact").select("day", "n").collect()))
+
+    assert run(1, [(10, 1), (20, 2)], ["day"]) == [(10, 1), (20, 2)]
+    assert run(2, [(10, 3), (30, 4)], ["day"]) == [(10, 3), (30, 4)]
+    assert run(3, [(40, 5)], []) == [(40, 5)]
+    assert run(4, [(50, 6)], ["day"]) == [(50, 6)]
+    drop_schema(spark, "shown")
+
+
+def test_shared_folder_is_required_off_one_machine(spark, tmp_path):
+    class Context:
+        master = "spark://host:7077"
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_root(Session())
+    Context.folder = f"{tmp_path}/set-on-the-context/"
+    assert workspace.shared_root(Session()) == f"{tmp_path}/set-on-the-context"
+    assert workspace.shared_root(spark)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas, workspace
 from tidemark.functions import wire
-from tidemark.operators import upkeep
+from tidemark.operators import decode, upkeep
 from tidemark.operators.decode import to_bronze
 from tidemark.sources import jdbc, tables, topics
 from tidemark.streaming import ingest, stateful
@@ -93,6 +93,56 @@ def test_dedup_across_batches(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
 
 
+def test_appending_once_loses_no_late_row(spark, tmp_path):
+    path = str(tmp_path / "in")
+    newest = datetime(2024, 3, 1)
+    for day in (0, -9, 4, -30, 2, -3):  # files in mixed order, each with rows of another
+        rows = [(abs(day) * 100 + i, newest + timedelta(days=day)) for i in range(10)] + [(0, newest)]
+        spark.createDataFrame(rows, "id long, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.01)
+    stream = spark.readStream.schema("id long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    for _ in range(2):
+        stateful.start_append_once(stream, str(tmp_path / "out"), str(tmp_path / "c"), ["id"]).awaitTermination()
+    got = sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted({r.id for r in spark.read.parquet(path).collect()})
+
+
+def test_stored_update_and_delete_rewrite_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [("a", 1, 1.0), ("a", 2, None), ("b", 3, 3.0), ("c", 4, 4.0), (None, 5, 5.0)]
+    stored = tables.write_snapshot(spark.createDataFrame(rows, "k string, id int, v double"), path, ["k"])
+
+    def files(key):
+        return sorted(p.name for p in (tmp_path / "table" / f"k={key}").glob("*.parquet"))
+
+    untouched = files("b")
+    assert upkeep.update_stored(stored, path, ["k"], F.col("v") < 2, {"v": F.lit(9.0)}) == 1
+    assert files("b") == untouched
+    stored = spark.read.schema(stored.schema).parquet(path)
+    assert upkeep.delete_stored(stored, path, ["k"], (F.col("k") == "c") | F.col("k").isNull()) == 2
+    left = spark.read.schema(stored.schema).parquet(path).collect()
+    assert sorted((r.id, r.v) for r in left) == [(1, 9.0), (2, None), (3, 3.0)]
+    assert upkeep.delete_stored(stored, path, ["k"], F.lit(False)) == 0
+
+
+def test_retention_keeps_rows_without_time(spark):
+    rows = [("a", None, 1), ("a", datetime(2020, 1, 1), 2), ("a", datetime(2024, 1, 5), 3)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int")
+    kept = upkeep.retain_recent(df, ["k"], ["ts", "id"], F.lit("2024-01-02").cast("timestamp"))
+    assert sorted(r.id for r in kept.collect()) == [1, 3]
+
+
+def test_payloads_keep_odd_names_and_valid_bodies(spark):
+    bodies = ['{"VOIDED":1,"OBJECT<x":{"VOID":null}}', '{"a":1,"a":2}', "nonsense"]
+    df = spark.createDataFrame([(b,) for b in bodies], "json_payload string")
+    parsed = decode.parse_inferred(df).collect()
+    assert parsed[0].payload["VOIDED"] == 1
+    framed = df.select(F.concat(F.lit(b"\x00\x00\x00\x00\x07"), F.encode("json_payload", "UTF-8")).alias("value"))
+    assert [r.decode_status for r in decode.decode_frames(framed).collect()] == ["decoded", "decoded", "bad_body"]
+    bad = spark.createDataFrame([("no json",)], "json_payload string")
+    assert decode.parse_inferred(bad).count() == 1
+
+
 def test_partial_counts_include_late_rows_and_are_repeatable(spark, tmp_path):
     path = str(tmp_path / "in")
     start = datetime(2024, 1, 10)

@@ -115,10 +115,7 @@ FROM events GROUP BY 1
 def stream_dedup(spark, sf_dir):
     root = workspace.fresh_folder(spark, "dedup")
     events = _stream(spark, sf_dir, "events")
-    once = stateful.deduplicate(events.union(events), ["event_id"], "ts")
-    with stateful.disk_backed_state(spark):
-        query = ingest.start_append(once, f"{root}/rows", f"{root}/checkpoint", partition_by=("event_type",))
-        query.awaitTermination()
+    stateful.start_append_once(events.union(events), f"{root}/rows", f"{root}/checkpoint", ["event_id"]).awaitTermination()
     return spark.read.schema(events.schema).parquet(f"{root}/rows").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("event_id").alias("distinct_ids"),

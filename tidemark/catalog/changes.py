@@ -226,8 +226,10 @@ def stream_upsert(spark, sf_dir):
     root = workspace.fresh_folder(spark, "stream-upsert")
     orders = topics.stream_files(spark, sf_dir, schema=table(spark, sf_dir, "orders").schema, file_glob="orders.parquet")
     changes = ops.decode_changes(stand_ins.segment_changes(orders), CDC_TABLES["customer_segments"])
-    start_upsert(changes, f"{root}/current", f"{root}/checkpoint", ["user_id"], ops.CHANGE_ORDER, buckets=8).awaitTermination()
-    return current_rows(spark, f"{root}/current", changes.schema).select("user_id", "segment", "lifetime_value", "lsn")
+    keys = (["user_id"], ops.CHANGE_ORDER)
+    start_upsert(changes, f"{root}/current", f"{root}/checkpoint", *keys).awaitTermination()
+    current = current_rows(spark, f"{root}/current", changes.schema, *keys)
+    return current.select("user_id", "segment", "lifetime_value", "lsn")
 
 
 # ---- as-of joins ---------------------------------------------------------------------

@@ -11,7 +11,7 @@ from tidemark.functions.casts import exact_sum, stamp
 from tidemark.operators import changes as ops
 from tidemark.operators import upkeep
 from tidemark.plans import analytics
-from tidemark.sources.tables import append_rows, read_table, register_views, with_month, write_snapshot
+from tidemark.sources.tables import append_rows, publish, read_table, register_views, with_month, write_snapshot
 
 
 def _t(spark, sf_dir, *names):
@@ -155,6 +155,41 @@ def price_update(spark, sf_dir):
     return ops.update_where(parts, F.col("p_size") > 25, {"price": raised}).select("p_partkey", "price")
 
 
+@query(
+    "update_stored",
+    f"""
+WITH u AS (SELECT o_orderstatus, CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders
+           WHERE NOT (o_orderstatus = 'O' AND o_totalprice < 50000))
+SELECT o_orderstatus, count(*) AS rows, {_SUM} FROM u GROUP BY 1
+""",
+)
+def update_stored(spark, sf_dir):
+    path = workspace.fresh_folder(spark, "updated")
+    by = ["o_orderstatus"]
+    stored = write_snapshot(table(spark, sf_dir, "orders"), path, by)
+    status = F.col("o_orderstatus")
+    upkeep.update_stored(stored, path, by, (status == "P") & (F.col("o_orderkey") % 2 == 0), {"o_totalprice": F.lit(0.0)})
+    stored = spark.read.schema(stored.schema).parquet(path)
+    upkeep.delete_stored(stored, path, by, (status == "O") & (F.col("o_totalprice") < 50000))
+    return _totals(spark.read.schema(stored.schema).parquet(path), "o_orderstatus")
+
+
+@query(
+    "publish_twice",
+    f"SELECT o_orderstatus, count(*) AS rows, {_SUM} FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1",
+)
+def publish_twice(spark, sf_dir):
+    """A second run with fewer partitions and another layout: readers see exactly that run."""
+    orders = table(spark, sf_dir, "orders")
+    first, second = (workspace.fresh_folder(spark, f"published-{n}") for n in (1, 2))
+    name = f"published.orders_{second[-32:]}"
+    stored = write_snapshot(orders, first, ["o_orderstatus"])
+    publish(spark, name, first, stored.schema)
+    stored = write_snapshot(orders.filter("o_orderstatus <> 'F'"), second)
+    publish(spark, name, second, stored.schema)
+    return _totals(spark.table(name), "o_orderstatus")
+
+
 # ---- analytics -----------------------------------------------------------------------
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.operators.changes import delete_where, update_where
 from tidemark.operators.ranking import first_n_per_key
+from tidemark.workspace import fresh_folder
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -41,18 +44,71 @@ def compact(
     time, so a source with a third of the rows becomes many files, not one. Returns the
     staged table; the caller swaps it in after checking it.
     """
-    table = spark.read.parquet(path)
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(target_bytes))
-    try:
-        writer = table.hint("rebalance", *partition_by).write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged_path)
-    finally:
-        spark.conf.set(setting, before)
+    # a session of its own: settings of the caller's session stay as they are
+    own = spark.newSession()
+    for name, value in {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
+    }.items():
+        own.conf.set(name, value)
+    writer = own.read.parquet(path).hint("rebalance", *partition_by).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged_path)
     return spark.read.parquet(staged_path)
 
 
+def rewrite_partitions(
+    table: DataFrame, path: str, partition_by: Sequence[str], touched: Column, change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Apply a change to a stored table, rewriting only the partitions with a touched row.
+
+    The new rows are written beside the table first, so a failure leaves it as it was, and then
+    replace their partitions. A partition whose rows all go is emptied. Returns the number of
+    partitions rewritten.
+    """
+    spark = table.sparkSession
+    hit = stage_rows(table.filter(F.coalesce(touched, F.lit(False))).select(*partition_by).distinct(), "touched")
+    same = reduce(lambda a, b: a & b, [table[c].eqNullSafe(hit[c]) for c in partition_by])
+    count = hit.count()
+    if not count:
+        return 0
+    changed = stage_rows(change(table.join(hit, same, "left_semi")), "rewritten")
+    left = changed.select(*partition_by).distinct()
+    emptied = hit.exceptAll(left).count()
+    writer = changed.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    if emptied:
+        for row in hit.exceptAll(left).toLocalIterator():
+            _empty_partition(spark, path, row.asDict())
+    return count
+
+
+def _empty_partition(spark: SparkSession, path: str, values: dict) -> None:
+    """Remove the files of one partition, whose rows all went."""
+    folder = path.rstrip("/") + "".join(
+        f"/{name}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for name, value in values.items()
+    )
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def update_stored(
+    table: DataFrame, path: str, partition_by: Sequence[str], condition: Column, assignments: Mapping[str, Column]
+) -> int:
+    """SQL UPDATE of a stored table."""
+    return rewrite_partitions(table, path, partition_by, condition, lambda df: update_where(df, condition, assignments))
+
+
+def delete_stored(table: DataFrame, path: str, partition_by: Sequence[str], condition: Column) -> int:
+    """SQL DELETE from a stored table."""
+    return rewrite_partitions(table, path, partition_by, condition, lambda df: delete_where(df, condition))
+
+
+def stage_rows(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def retain_recent(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cutoff: Column, keep_at_least: int = 1
 ) -> DataFrame:

@@ -105,15 +105,19 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
-def publish(
-    spark: SparkSession, table: str, path: str, columns: T.StructType, partition_by: Sequence[str] = ()
-) -> None:
-    """Point a catalog table at a finished, checked path; readers see old or new, never half."""
-    ensure_table(spark, table, columns, partition_by, location=path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-    spark.catalog.refreshTable(table)
+def publish(spark: SparkSession, table: str, path: str, columns: T.StructType) -> None:
+    """Make a finished, checked path what readers of a name see; they see old or new, never half.
+
+    A name is a view over one path, replaced in one catalog step. So schema and layout may change
+    from run to run, and no partition of an earlier run can stay behind. A table of that name from
+    before is dropped once; its files stay.
+    """
+    if "." in table:
+        ensure_schema(spark, table.rsplit(".", 1)[0])
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")
+    fields = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {fields} FROM parquet.`{path}`")
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
@@ -123,7 +127,8 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    view = spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
+    spark.sql(f"DROP {'VIEW' if view else 'TABLE'} IF EXISTS {table}")
 
 
 def drop_schema(spark: SparkSession, schema: str) -> None:

@@ -8,6 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.upkeep import only_new_records
+from tidemark.workspace import path_exists
+
 # Fixed value: how late the event contract allows an event to be.
 ALLOWED_LATENESS = "25 minutes"
 
@@ -27,11 +30,40 @@ def disk_backed_state(spark: SparkSession):
 def deduplicate(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Each key once, as long as its copies arrive within the allowed lateness.
 
-    State is dropped once the watermark has passed, so it stays bounded on endless streams.
+    State is dropped once the watermark has passed, so it stays bounded on endless streams, and
+    rows older than the watermark are dropped with it. Send those to a side table first
+    (:func:`split_late`); for bounded catch-up use :func:`start_append_once`, which loses none.
     """
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def start_append_once(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition_by: Sequence[str] = ()
+) -> StreamingQuery:
+    """Append each key once, whenever its copies arrive: nothing is late, so nothing is lost.
+
+    Each batch is compared with the identities stored by the batches before it and written to a
+    folder of its own, which a repeated batch replaces.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(list(keys))
+        if number and path_exists(spark, path):
+            layout = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in batch.select(*keys).schema)}, batch long"
+            stored = spark.read.schema(layout).parquet(path).filter(F.col("batch") < number)
+            fresh = only_new_records(fresh, stored, keys)
+        writer = fresh.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def tumbling_counts(rows: DataFrame, event_time: str, by: Sequence[str], width: str = "1 day") -> DataFrame:
     return rows.groupBy(F.window(event_time, width)["start"].alias("window_start"), *by).agg(
         F.count(F.lit(1)).alias("rows")
