@@ -37,6 +37,29 @@ def test_ingest_arguments():
     assert (args.topics, args.batch_size) == ("demo.public.users", 5_000)
 
 
+def test_ingest_needs_a_decoder(spark):
+    args = jobs.parser().parse_args(["ingest-events", "--topics", "a", "--checkpoint", "/c"])
+    with pytest.raises(ValueError, match="no decoder"):
+        jobs.body_schemas(spark, args)
+    args = jobs.parser().parse_args(["ingest-events", "--topics", "a", "--checkpoint", "/c", "--avro-schemas", "reg.ids"])
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        jobs.body_schemas(spark, args)
+    args = jobs.parser().parse_args(["ingest-events", "--topics", "a", "--checkpoint", "/c", "--json-bodies"])
+    assert jobs.body_schemas(spark, args) == {}
+
+
+def test_compaction_and_retention_jobs_finish(spark, tmp_path):
+    drop_schema(spark, "kept")
+    rows = spark.range(100).selectExpr("id", "id % 2 AS k", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id AS int)) AS ts")
+    rows.repartition(10).write.partitionBy("k").parquet(str(tmp_path / "t"))
+    place = ["--path", str(tmp_path / "t"), "--partition-by", "k", "--table", "kept.t"]
+    jobs.main(["compact", *place, "--staged-path", str(tmp_path / "c")], spark)
+    assert spark.table("kept.t").count() == 100
+    jobs.main(["retain", *place, "--staged-path", str(tmp_path / "r"), "--keys", "k", "--order", "ts,id", "--before", "2024-03-01"], spark)
+    assert sorted(r.id for r in spark.table("kept.t").collect()) == list(range(60, 100))
+    drop_schema(spark, "kept")
+
+
 def test_stream_into_a_catalog_table(spark, tmp_path):
     drop_schema(spark, "lake")
     source = str(tmp_path / "in")

@@ -15,6 +15,7 @@ from tidemark.operators.quality import offset_faults
 from tidemark.operators.ranking import first_n_per_key, newest_rows
 from tidemark.plans import facts
 from tidemark.plans.dimensions import calendar_of
+from tidemark.schemas import QUARANTINE
 from tidemark.sources import topics
 from tidemark.sources.tables import write_snapshot
 from tidemark.streaming import ingest, stateful
@@ -319,6 +320,29 @@ def wire_decode_quarantine(spark, sf_dir):
     return decoded.groupBy("topic", "decode_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "ingest_quarantine",
+    """
+SELECT event_type AS event_source, count(*) AS read_rows,
+       count(*) FILTER (event_id % 77 <> 0 AND event_id % 50 <> 0) AS good,
+       count(*) FILTER (event_id % 77 = 0 OR event_id % 50 = 0) AS quarantined,
+       cast(sum(CASE WHEN event_id % 77 = 0 THEN 3 WHEN event_id % 50 = 0 THEN strlen(props) + 5 ELSE 0 END) AS bigint) AS kept_bytes
+FROM events GROUP BY 1
+""",
+)
+def ingest_quarantine(spark, sf_dir):
+    root = workspace.fresh_folder(spark, "quarantine")
+    faulty = stand_ins.topic_records(_stream(spark, sf_dir, "events"), stand_ins.faulty_props())
+    ingest.ingest_available(faulty, f"{root}/bronze", f"{root}/checkpoint", quarantine=f"{root}/refused")
+    bronze = ingest.read_bronze(spark, f"{root}/bronze").groupBy("event_source").agg(
+        F.count(F.lit(1)).alias("read_rows"), F.count("json_payload").alias("good")
+    )
+    refused = spark.read.schema(QUARANTINE).parquet(f"{root}/refused").groupBy(F.col("topic").alias("event_source")).agg(
+        F.count(F.lit(1)).alias("quarantined"), F.sum(F.octet_length("value").cast("bigint")).alias("kept_bytes")
+    )
+    return bronze.join(refused, "event_source", "left")
+
+
 @query(
     "encoding_savings",
     """

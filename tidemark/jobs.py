@@ -2,7 +2,8 @@
 
 ``ingest-events`` takes all waiting records of shared topics into one bronze table,
 ``ingest-cdc`` those of one captured table into its own; ``build-silver`` builds chosen
-tables of the star schema; ``compact`` rewrites a table folder into larger files.
+tables of the star schema; ``compact`` rewrites a table folder into larger files, ``retain``
+into one without old rows; both show the new folder under the table's name once its rows are checked.
 """
 
 from __future__ import annotations
@@ -11,15 +12,15 @@ import argparse
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import upkeep
 from tidemark.plans import star
 from tidemark.plans.dimensions import CALENDAR_FIRST, CALENDAR_LAST
-from tidemark.schemas import BRONZE
-from tidemark.session import build_session
+from tidemark.schemas import BRONZE, QUARANTINE
+from tidemark.session import build_session, has_source
 from tidemark.sources import topics
-from tidemark.sources.tables import ensure_schema, ensure_table
+from tidemark.sources.tables import ensure_schema, ensure_table, publish, read_table, write_snapshot
 from tidemark.streaming import ingest
 
 # Default names and batch sizes of the bronze and silver layers.
@@ -39,22 +40,51 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--batch-size", type=int, default=batch, help="records per micro-batch")
         job.add_argument("--starting-offsets", default="latest", choices=["earliest", "latest"])
+        job.add_argument("--avro-schemas", help="table or folder with schema_id and schema of Avro bodies")
+        job.add_argument("--json-bodies", action="store_true", help="framed bodies are JSON")
+        job.add_argument("--quarantine", help="table of records that do not decode; default: <table>_quarantine")
         job.add_argument("--table", default=RAW_EVENTS if name == "ingest-events" else None, required=name == "ingest-cdc")
     job = jobs.add_parser("build-silver")
     job.add_argument("--tables", default="all", help="comma list of table names")
     job.add_argument("--root", required=True, help="folder for table versions")
     job.add_argument("--bronze-schema", default="bronze")
     job.add_argument("--silver-schema", default="silver")
+    job.add_argument("--calendar-first", default=CALENDAR_FIRST, help="first day of dim_date")
+    job.add_argument("--calendar-last", default=CALENDAR_LAST, help="last day of dim_date")
     job = jobs.add_parser("compact")
     job.add_argument("--path", required=True)
     job.add_argument("--staged-path", required=True)
     job.add_argument("--partition-by", default="event_source")
     job.add_argument("--target-bytes", type=int, default=upkeep.TARGET_FILE_BYTES)
+    job.add_argument("--table", help="name that readers use; shows the new folder when done")
+    job = jobs.add_parser("retain")
+    job.add_argument("--path", required=True)
+    job.add_argument("--staged-path", required=True)
+    job.add_argument("--partition-by", default="event_source")
+    job.add_argument("--keys", required=True, help="comma list; the newest row of each key stays")
+    job.add_argument("--order", required=True, help="comma list, the time first")
+    job.add_argument("--before", required=True, help="rows older than this time go")
+    job.add_argument("--table", help="name that readers use; shows the new folder when done")
     return root
 
 
+def body_schemas(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """How bodies are decoded. Without a decoder every payload would be NULL, so that is refused."""
+    if args.avro_schemas:
+        if not has_source(spark, "avro"):
+            raise RuntimeError("Avro bodies need the spark-avro package on the class path")
+        rows = read_table(spark, args.avro_schemas).select("schema_id", "schema").distinct()
+        return {"avro_schemas": {r["schema_id"]: r["schema"] for r in rows.collect()}}  # a registry: few rows
+    if not args.json_bodies:
+        raise ValueError("name --avro-schemas or --json-bodies: no decoder fits otherwise")
+    return {}
+
+
 def ingest_topics(spark: SparkSession, args: argparse.Namespace) -> None:
+    schemas = body_schemas(spark, args)
+    quarantine = args.quarantine or f"{args.table}_quarantine"
     ensure_table(spark, args.table, BRONZE)
+    ensure_table(spark, quarantine, QUARANTINE, ("topic",))
     ingest.replay_is_ignored(spark, args.checkpoint, args.starting_offsets)
     spark.streams.addListener(ingest.ProgressLog())
     records = topics.stream_broker(
@@ -64,16 +94,23 @@ def ingest_topics(spark: SparkSession, args: argparse.Namespace) -> None:
         starting_offsets=args.starting_offsets,
         records_per_trigger=args.batch_size,
     )
-    ingest.ingest_available(records, args.table, args.checkpoint)
+    ingest.ingest_available(records, args.table, args.checkpoint, quarantine, **schemas)
 
 
-def silver_inputs(spark: SparkSession, tables: Sequence[star.StarTable], bronze: str, silver: str) -> dict[str, DataFrame]:
+def silver_inputs(
+    spark: SparkSession,
+    tables: Sequence[star.StarTable],
+    bronze: str,
+    silver: str,
+    first: str = CALENDAR_FIRST,
+    last: str = CALENDAR_LAST,
+) -> dict[str, DataFrame]:
     """Bronze feeds of the chosen tables, and dimensions of earlier runs they depend on."""
     chosen = {t.name for t in tables}
     inputs: dict[str, DataFrame] = {}
     for feed in {f for t in tables for f in t.feeds}:
         if feed == "calendar_bounds":
-            inputs[feed] = spark.sql(f"SELECT DATE'{CALENDAR_FIRST}' AS first, DATE'{CALENDAR_LAST}' AS last")
+            inputs[feed] = spark.sql(f"SELECT DATE'{first}' AS first, DATE'{last}' AS last")
         elif feed == "raw_events":
             inputs[feed] = spark.table(f"{bronze}.raw_events")
         else:
@@ -86,14 +123,33 @@ def silver_inputs(spark: SparkSession, tables: Sequence[star.StarTable], bronze:
 def build_silver(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = star.in_build_order(args.tables)
     ensure_schema(spark, args.silver_schema)
-    inputs = silver_inputs(spark, tables, args.bronze_schema, args.silver_schema)
+    inputs = silver_inputs(
+        spark, tables, args.bronze_schema, args.silver_schema, args.calendar_first, args.calendar_last
+    )
     version = f"{args.root.rstrip('/')}/{uuid.uuid4().hex}"
     star.build_star(spark, inputs, version, [t.name for t in tables], schema=args.silver_schema)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    partition_by = [c for c in args.partition_by.split(",") if c]
-    upkeep.compact(spark, args.path, args.staged_path, partition_by, args.target_bytes)
+    partition_by = _names(args.partition_by)
+    stored = upkeep.compact(spark, args.path, args.staged_path, partition_by, args.target_bytes)
+    if stored.count() != spark.read.parquet(args.path).count():
+        raise RuntimeError(f"{args.staged_path} does not hold the rows of {args.path}")
+    if args.table:
+        publish(spark, args.table, args.staged_path, stored.schema)
+
+
+def retain(spark: SparkSession, args: argparse.Namespace) -> None:
+    rows = spark.read.parquet(args.path)
+    cutoff = F.lit(args.before).cast("timestamp")
+    kept = upkeep.retain_recent(rows, _names(args.keys), _names(args.order), cutoff)
+    stored = write_snapshot(kept, args.staged_path, _names(args.partition_by))
+    if args.table:
+        publish(spark, args.table, args.staged_path, stored.schema)
+
+
+def _names(text: str) -> list[str]:
+    return [c for c in text.split(",") if c]
 
 
 JOBS = {
@@ -101,6 +157,7 @@ JOBS = {
     "ingest-cdc": ingest_topics,
     "build-silver": build_silver,
     "compact": compact,
+    "retain": retain,
 }
 
 

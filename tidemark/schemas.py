@@ -26,6 +26,11 @@ TOPIC_RECORD = _struct(
     topic=_S, partition=_I, offset=_L, timestamp=_TS, key=T.BinaryType(), value=T.BinaryType()
 )
 
+# A record that did not decode, as it came, and why.
+QUARANTINE = _struct(
+    partition=_I, offset=_L, timestamp=_TS, value=T.BinaryType(), decode_status=_S, topic=_S
+)
+
 # Topic names, their fields and types, and defaults of absent fields.
 TOPICS: dict[str, T.StructType] = {
     "orders.v1": _struct(order_id=_S, user_id=_S, product_id=_S, amount=T.DecimalType(10, 2), currency=_S, ts=_TS),
