@@ -139,3 +139,25 @@ def test_history_needs_one_shuffle_and_one_sort(spark):
     plan = history._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(18,3)", "boolean", "float"])
+def test_slices_of_every_order_type_give_the_plain_result(spark, kind):
+    rows = spark.range(900).selectExpr(
+        "cast(id % 2 AS string) AS k", f"cast(CASE WHEN id % 50 = 7 THEN NULL ELSE (id * 7919 % 613) / 8 - 30 END AS {kind}) AS o",
+        "id", "id % 13 AS v",
+    )
+    def along(limit):
+        timeline = Timeline.of(rows, ["k"], ["o", "id"], limit)
+        out = timeline.extend(
+            timeline.attach(rows), previous={"p": F.col("id")}, running={"total": F.col("v")}, known={"w": (F.col("id"), F.col("v") == 5)}
+        )
+        return sorted((r.id, r.p, r.total, r.w) for r in timeline.detach(out).collect())
+
+    assert along(40) == along(10_000)
+
+
+def test_order_types_are_refused_at_every_size(spark):
+    rows = spark.createDataFrame([("a", [1])], "k string, o array<int>")
+    with pytest.raises(TypeError):
+        Timeline.of(rows, ["k"], ["o"])

@@ -10,8 +10,8 @@ share of the table. A :class:`Timeline` looks at the key sizes first:
   neighbours comes from one aggregated row per slice. No row is dropped or approximated:
   quantiles only decide where to cut.
 
-The number of hot keys and of slices is bounded (``MAX_HOT_KEYS``, ``MAX_SLICES``), so both
-helper tables can be broadcast whatever the size of the data.
+The number of hot keys is bounded (``MAX_HOT_KEYS``), so the cut points can be broadcast whatever
+the size of the data. What slices hand on is written and broadcast only where its size allows.
 """
 
 from __future__ import annotations
@@ -22,18 +22,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.operators.sizing import ONE_TASK_BYTES, input_bytes
+from tidemark.operators.settle import settle
+from tidemark.operators.sizing import ONE_TASK_BYTES, broadcast_if_small, input_bytes
 
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_KEYS = 4_096
+MAX_HOT_KEYS = 65_536
 QUANTILE_CUTS = 32
-MAX_SLICES = 200_000
+MAX_SLICES = 4_000_000
 
 SLICE = "_slice"
 
 
 def _position(column: Column, kind: T.DataType) -> Column:
-    """Order column as a whole number."""
+    """Order column as a whole number that never falls where the column rises.
+
+    Only slices depend on it: values that share a number share a slice.
+    """
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
@@ -42,6 +46,19 @@ def _position(column: Column, kind: T.DataType) -> Column:
         return F.unix_date(column).cast("bigint")
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return column.cast("bigint")
+    if isinstance(kind, T.BooleanType):
+        return column.cast("bigint")
+    if isinstance(kind, T.StringType):
+        first = F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7))
+        return F.conv(F.rpad(first, 14, "0"), 16, 10).cast("bigint")
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        value = column.cast("double")
+        size = F.log1p(F.abs(value)) * F.lit(1e15)  # at most 7.1e17
+        number = F.when(value < 0, -size).otherwise(size)
+        # NaN sorts last, infinities beside it
+        return F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.when(value < 0, F.lit(-(10**18))).otherwise(F.lit(10**18))).otherwise(
+            F.floor(number)
+        ).cast("bigint")
     raise TypeError(f"cannot slice along a column of type {kind.simpleString()}")
 
 
@@ -74,6 +91,8 @@ class Timeline:
         Input that fits one task needs no look at its keys. ``rows_per_task`` forces the look.
         """
         keys, order = tuple(keys), tuple(order)
+        first = order[0]
+        position = _position(F.col(first), df.schema[first].dataType)  # refuses types at every size
         if rows_per_task is None and input_bytes(df) <= ONE_TASK_BYTES:
             return cls(keys, order)
         limit = rows_per_task or ROWS_PER_TASK
@@ -87,8 +106,6 @@ class Timeline:
 
         # every hot key has QUANTILE_CUTS slices, larger ones one more per ``target`` rows
         target = max(limit, total // (MAX_SLICES - MAX_HOT_KEYS * QUANTILE_CUTS))
-        first = order[0]
-        position = _position(F.col(first), df.schema[first].dataType)
         steps = [i / QUANTILE_CUTS for i in range(QUANTILE_CUTS + 1)]
         # at most MAX_HOT_KEYS keys can each hold more than total / MAX_HOT_KEYS rows
         hot = sizes.filter(F.col("_rows") > floor).select(*[F.col(k).alias("_hot_" + k) for k in keys], "_rows")
@@ -199,7 +216,7 @@ class Timeline:
         )
         handed = self._handed_over(df if carry_from is None else carry_from, previous, following, known, running)
         joined = local.join(
-            F.broadcast(handed), _null_safe_match(self.partition_columns, "_from_"), "left"
+            broadcast_if_small(settle(handed, "handed-over", above=0)), _null_safe_match(self.partition_columns, "_from_"), "left"
         )
         merged: dict[str, Column] = {}
         for name in [*previous, *following, *known]:
