@@ -15,7 +15,7 @@ from tidemark.operators.asof import asof_join, unmatched_rows
 from tidemark.operators.feeds import combine_feeds, consolidate, forward_fill
 from tidemark.operators.history import build_history, current_versions, detect_changes, range_faults
 from tidemark.operators.ranking import latest_per_key
-from tidemark.operators.timeline import Timeline
+from tidemark.operators.timeline import settled
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources import topics
 from tidemark.streaming.upserts import current_rows, start_upsert
@@ -98,8 +98,7 @@ WHERE rn = 1 OR segment IS DISTINCT FROM before
 """,
 )
 def change_detect(spark, sf_dir):
-    rows = segment_rows(spark, sf_dir)
-    timeline = Timeline.of(rows, ["user_id"], ops.CHANGE_ORDER)
+    rows, timeline = settled(segment_rows(spark, sf_dir), ["user_id"], ops.CHANGE_ORDER)
     changed = timeline.detach(detect_changes(rows, ["user_id"], ops.CHANGE_ORDER, ["segment"], timeline))
     return changed.select("user_id", "segment", stamp(F.col("change_ts")).alias("change_ts"), "bronze_offset")
 

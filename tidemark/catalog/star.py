@@ -15,7 +15,7 @@ from tidemark.operators import quality, stock
 from tidemark.operators.asof import asof_join
 from tidemark.operators.payloads import topic_rows
 from tidemark.operators.ranking import latest_per_key
-from tidemark.operators.timeline import Timeline
+from tidemark.operators.timeline import settled
 from tidemark.plans import dimensions, facts, gold, star
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources.tables import side_by_side, write_snapshot
@@ -356,7 +356,7 @@ def fact_inventory_position(spark, sf_dir):
     fact = facts.fact_inventory_position(_inventory_events(spark, sf_dir), where, what, when)
     shown = _with_date(_with_versions(fact, warehouse=where, product=what), when).drop("inventory_sk")
     order = ["change_ts", "bronze_partition", "bronze_offset"]
-    timeline = Timeline.of(shown, ["warehouse_nk"], order)
+    shown, timeline = settled(shown, ["warehouse_nk"], order)
     levels = timeline.extend(timeline.attach(shown), running={"running_level": F.col("quantity_delta")})
     return timeline.detach(levels).withColumn("change_ts", stamp(F.col("change_ts")))
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.settle import settle
-from tidemark.operators.timeline import Timeline
+from tidemark.operators.timeline import Timeline, settled
 
 # Fixed value: end of a version that is still valid.
 OPEN_END = "2999-12-31 23:59:59"
@@ -27,7 +27,7 @@ def detect_changes(
     carry_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose state differs from the row before (NULL-safe), plus each key's first row."""
-    timeline = timeline or Timeline.of(changes, keys, order)
+    changes, timeline = settled(changes, keys, order, timeline)
     seen = timeline.extend(
         timeline.attach(changes),
         previous={"_before": F.struct(*[F.col(c) for c in state])},
@@ -56,7 +56,7 @@ def build_history(
     Adds ``valid_from``, ``valid_to`` (``OPEN_END`` while valid) and ``is_current``.
     """
     at = order[0]
-    timeline = timeline or Timeline.of(changes, keys, order)
+    changes, timeline = settled(changes, keys, order, timeline)
     changes = timeline.attach(changes)
     rows = timeline.extend(changes, following={"_next": F.col(at)}, within_slices=True)
     last_of_instant = rows.filter(~F.col("_next").eqNullSafe(F.col(at))).drop("_next")
@@ -85,7 +85,7 @@ def current_versions(history: DataFrame) -> DataFrame:
 
 def range_faults(history: DataFrame, keys: Sequence[str], timeline: Timeline | None = None) -> DataFrame:
     """Versions that overlap the next one, leave a gap before it, or have no length."""
-    timeline = timeline or Timeline.of(history, keys, ["valid_from", "valid_to"])
+    history, timeline = settled(history, keys, ["valid_from", "valid_to"], timeline)
     ordered = timeline.extend(timeline.attach(history), following={"next_from": F.col("valid_from")})
     fault = (
         F.when(F.col("valid_to") <= F.col("valid_from"), F.lit("empty"))

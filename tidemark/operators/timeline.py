@@ -250,3 +250,14 @@ class Timeline:
         carries += [F.last("_known_" + n, ignorenulls=True).over(before).alias("_carry_" + n) for n in known]
         carries += [F.sum("_sum_" + n).over(before).alias("_carry_" + n) for n in running]
         return slices.select(*[F.col(c).alias("_from_" + c) for c in self.partition_columns], *carries)
+
+
+def settled(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], timeline: Timeline | None = None
+) -> tuple[DataFrame, Timeline]:
+    """Rows and their timeline. Without a timeline given, large rows are written first, as key
+    sizes, cut points and the windows read them in passes of their own."""
+    if timeline is not None:
+        return df, timeline
+    df = settle(df, "timeline")
+    return df, Timeline.of(df, keys, order)
