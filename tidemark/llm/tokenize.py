@@ -16,7 +16,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 WORDS_AT_ONCE = 20_000
 
 # White space other than ASCII's common ones, and the start of special tokens.
