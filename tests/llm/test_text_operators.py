@@ -371,6 +371,33 @@ def test_language_model_of_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypa
     assert gru_lm.score(no_docs, v, model, counts).count() == 0
 
 
+def test_windows_hold_whole_documents_with_one_end_each():
+    lengths = (1, 40, 3, 700, 16, 2)
+    docs = [tuple(np.arange(n) + 1_000 * i + k for k in range(3)) for i, n in enumerate(lengths)]
+    seen = {}
+    for busy, token, wanted, slot, fresh, live in gru_lm.windows(iter(docs), 2):
+        assert np.array_equal(wanted[live], token[live] + 1) and np.array_equal(slot[live], token[live] + 2)
+        for k, i in enumerate(busy):
+            seen.setdefault(i, []).extend(zip(token[k, live[k]].tolist(), fresh[k, live[k]].tolist()))
+    found = [x for rows in seen.values() for x in rows]
+    assert sorted(t for t, _ in found) == sorted(int(t) for d in docs for t in d[0])
+    for rows in seen.values():  # in order, and fresh only where a document begins
+        assert all(new == (t % 1_000 == 0) and (new or rows[k - 1][0] == t - 1) for k, (t, new) in enumerate(rows))
+
+
+def test_all_training_tokens_are_trained_on(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "TRAINER_TOKENS", 3_000)  # several rounds and several tasks
+    monkeypatch.setattr(gru_lm, "PASS_TOKENS", 1)
+    rows = [(i, " ".join(f"w{(i + k) % 7}" for k in range(20 + i % 30))) for i in range(2_000)] + [(None, "b a " * 4_000), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    v = gru_lm.learn_vocabulary(gru_lm.count_words(docs).cache(), docs.count())
+    model, trained = gru_lm.learn_model(docs, v)
+    assert trained == v.tokens == sum(len((t or "").split()) + 1 for _, t in rows)
+    seven = gru_lm.targets(v, v.places([b"w%d" % (k % 7) for k in range(30)]), np.zeros(30, dtype=np.int64))
+    fresh = gru_lm.Model.fresh(v)
+    assert gru_lm.likelihoods(model, [seven])[0] > gru_lm.likelihoods(fresh, [seven])[0] + 20
+
+
 # ---------------------------------------------------------------- URL lists
 
 

@@ -9,45 +9,56 @@ of ``CLASS_WORDS`` with a learned softmax inside the class; every other word bel
 of its ending, in which its count plus 0.1 decides (one unseen word included); the end of the text
 is a class of its own. So all probabilities sum to one, whatever the vocabulary's size.
 
-**Training.** Truncated back-propagation through time over at most ``SAMPLE_DOCS`` training
-documents, those of smallest id hash, each with one stretch of at most ``STRETCH`` tokens.
+**Training.** Truncated back-propagation through time over all training documents, in Spark. Every
+task trains on its documents, whole and side by side, a window at a time; a state is carried from
+window to window and begins anew at a document, and the end stands only at a document's end. The
+documents are dealt by hash to rounds (``ROUNDS``), each larger than those before; after a round the
+tasks' weights are averaged by their tokens and start the next. Small tables are passed over again,
+up to ``MOST_PASSES`` times. The driver gets one averaged model a round and no text.
 
 **Scoring.** Documents advance side by side, a window of states at a time; the state is carried
 over all windows of a document, so that the likelihood is that of the complete text. Counts of the
 ``KNOWN_WORDS`` most frequent words are sent to all tasks; other words meet their counts in a join.
 
 Defined results: NULL text is empty and has the end token only; A-Z are lower-cased; a word is a run
-of bytes other than ASCII white space; documents without id are scored, but not trained on;
-repeated rows are each scored; without training documents the model is uniform over classes; an
+of bytes other than ASCII white space; documents without id are trained on and scored like others;
+repeated rows are each trained on and scored; weights depend on how rows lie in tasks; without training documents the model is uniform over classes; an
 empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import least_by_hash, spread, stage
+from tidemark.llm.tables import HASH_STEPS, hash_place, spread, stage
 
 KNOWN_WORDS = 100_000
 HEAD_WORDS = 1_000
 CLASS_WORDS = 50
-ENDINGS = 100
+ENDINGS = 160
 STATE = 24
 ADDED = 0.1
 
-SAMPLE_DOCS = 1_500
-STRETCH = 512
-STREAMS = 64
+STREAMS = 128
 WINDOW = 16
-PASSES = 3
+# A round ends at this share of the documents; weights are averaged after each.
+ROUNDS = (1 / 64, 1 / 16, 1 / 4, 1)
+# Tokens a task trains on at least before its weights are averaged with others'.
+TRAINER_TOKENS = 500_000
+# Tables of fewer tokens are passed over more than once.
+PASS_TOKENS, MOST_PASSES = 1_500_000, 8
 RATE = 0.01
+# Weights sent in one row.
+BLOCK = 8_192
 SEED = 7
 
 COUNTED_AT_ONCE = 500_000
@@ -66,6 +77,16 @@ def ending_of(word: bytes) -> bytes:
     return word.rstrip(_MARKS)[-3:]
 
 
+def _one_thread() -> None:
+    """Products of small matrices in the task's own thread; others would only wait beside it."""
+    for path in (Path(np.__file__).parents[1] / "numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def _texts(docs: DataFrame, *others: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"), *others
@@ -244,40 +265,95 @@ def targets(v: Vocabulary, places: np.ndarray, tails: np.ndarray) -> tuple[np.nd
     return np.concatenate(([start], token)), np.append(wanted, 0), np.append(slot, -1)
 
 
-def train(v: Vocabulary, stretches: list[tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int = SEED) -> Model:
-    """Truncated back-propagation with Adam over streams of documents; states start anew at a document."""
-    model = Model.fresh(v, seed)
-    if not stretches:
-        return model
-    parts = model.parts()
-    first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
-    r = np.random.default_rng(seed)
-    steps = 0
-    for _ in range(PASSES):
-        order = r.permutation(len(stretches))
-        joined = [np.concatenate([stretches[i][k] for i in order]) for k in range(3)]
-        begins = np.concatenate([np.arange(len(stretches[i][0])) == 0 for i in order])
-        streams = min(STREAMS, max(1, len(begins) // WINDOW))
-        length = len(begins) // streams
-        token, wanted, slot, fresh = (x[: streams * length].reshape(streams, length) for x in (*joined, begins))
-        h = np.zeros((streams, STATE), dtype=np.float32)
-        for at in range(0, length, WINDOW):
-            cut = slice(at, min(length, at + WINDOW))
-            grads, h = _window(model, h, token[:, cut], wanted[:, cut], slot[:, cut], fresh[:, cut])
-            steps += 1
-            scale = RATE / (1 + steps / 2_000) * np.sqrt(1 - 0.999**steps) / (1 - 0.9**steps)
-            for p, g, m, s in zip(parts, grads, first, second):
-                np.clip(g, -0.1, 0.1, out=g)
-                m *= 0.9
-                m += 0.1 * g
-                s *= 0.999
-                s += 0.001 * g * g
-                p -= (scale * m / (np.sqrt(s) + 1e-6)).astype(np.float32)
-    return model
-
-
-def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh) -> tuple[list[np.ndarray], np.ndarray]:
-    """Gradients over one window and the state behind it."""
+@dataclass
+class Progress:
+    """Weights and the running moments of their gradients, flat, with what they have seen."""
+
+    weights: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    steps: float = 0.0
+    tokens: int = 0
+
+    @classmethod
+    def fresh(cls, v: Vocabulary, seed: int = SEED) -> "Progress":
+        weights = _flat(Model.fresh(v, seed).parts())
+        return cls(weights, np.zeros_like(weights), np.zeros_like(weights))
+
+    def model(self, v: Vocabulary) -> Model:
+        """Views of the weights."""
+        shapes = [p.shape for p in Model.fresh(v).parts()]
+        cuts = np.cumsum([int(np.prod(shape)) for shape in shapes])[:-1]
+        return Model(*(part.reshape(shape) for part, shape in zip(np.split(self.weights, cuts), shapes)))
+
+
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in parts])
+
+
+def windows(documents: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], streams: int) -> Iterator[tuple]:
+    """Windows (streams with tokens, token, wanted, slot, fresh, live) over whole documents.
+
+    A document stands in one stream from its start to its end; a stream whose document ends takes
+    the next one.
+    """
+    held = [np.empty((4, 0), dtype=np.int64)] * streams
+    while True:
+        for i, rows in enumerate(held):
+            found, n = [rows], rows.shape[1]
+            while n < WINDOW and (document := next(documents, None)) is not None:
+                found.append(np.stack((*document, np.arange(len(document[0])) == 0)))
+                n += len(document[0])
+            if len(found) > 1:
+                held[i] = np.concatenate(found, axis=1)
+        busy = [i for i, rows in enumerate(held) if rows.shape[1]]
+        if not busy:
+            return
+        block = np.zeros((4, len(busy), WINDOW), dtype=np.int64)
+        live = np.zeros((len(busy), WINDOW), dtype=bool)
+        for k, i in enumerate(busy):
+            cut = held[i][:, :WINDOW]
+            block[:, k, : cut.shape[1]] = cut
+            live[k, : cut.shape[1]] = True
+            held[i] = held[i][:, WINDOW:]
+        yield busy, block[0], block[1], block[2], block[3] == 1, live
+
+
+def train(v: Vocabulary, documents: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], start: Progress, streams: int = STREAMS) -> Progress:
+    """Truncated back-propagation with Adam over all tokens of the documents.
+
+    Where few streams have tokens left, gradients of several windows make one step.
+    """
+    at = Progress(start.weights.copy(), start.first.copy(), start.second.copy(), start.steps)
+    model = at.model(v)
+    h = np.zeros((streams, STATE), dtype=np.float32)
+    enough = streams * WINDOW // 2
+    gathered, waiting = np.zeros_like(at.weights), 0
+
+    def step() -> None:
+        g = np.clip(gathered / np.float32(waiting), -0.1, 0.1)
+        at.steps += 1
+        rate = RATE / (1 + at.steps / 2_000) * np.sqrt(1 - 0.999**at.steps) / (1 - 0.9**at.steps) * min(1, waiting / enough)
+        at.first[:] += 0.1 * (g - at.first)
+        at.second[:] += 0.001 * (g * g - at.second)
+        at.weights[:] -= (np.float32(rate) * at.first / (np.sqrt(at.second) + 1e-6)).astype(np.float32)
+
+    for busy, token, wanted, slot, fresh, live in windows(documents, streams):
+        grads, h[busy] = _window(model, h[busy], token, wanted, slot, fresh, live)
+        n = int(live.sum())
+        gathered += np.float32(n) * _flat(grads)
+        waiting += n
+        at.tokens += n
+        if waiting >= enough:
+            step()
+            gathered[:], waiting = 0, 0
+    if waiting:
+        step()
+    return at
+
+
+def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh, live=None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Mean gradients over the live tokens of one window, and the state behind it."""
     past = []
     outputs = []
     for t in range(token.shape[1]):
@@ -286,43 +362,49 @@ def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh) -> tuple[li
         past.append((h, update, reset, new))
         outputs.append(following)
         h = following
-    grads = [np.zeros_like(p) for p in model.parts()]
-    g_inputs, g_recur, g_candidate, g_classes, g_bias, g_inside, g_inside_bias = grads
-    share = np.float32(1 / token.size)
+    # all outputs at once, by time and then stream
+    states = np.concatenate(outputs)
+    ids, want, place = token.T.ravel(), wanted.T.ravel(), slot.T.ravel()
+    counts = np.ones(len(ids), dtype=bool) if live is None else live.T.ravel()
+    share = counts.astype(np.float32) / np.float32(counts.sum())
+    logits = states @ model.classes + model.class_bias
+    soft = np.exp(logits - _log_sum(logits)[:, None])
+    soft[np.arange(len(soft)), want] -= 1
+    soft *= share[:, None]
+    g_classes, g_bias = states.T @ soft, soft.sum(axis=0)
+    back = soft @ model.classes.T
+    g_inside, g_inside_bias = np.zeros_like(model.inside), np.zeros_like(model.inside_bias)
+    inner = np.flatnonzero((place >= 0) & counts)
+    inner = inner[np.argsort(want[inner], kind="stable")]
+    for rows in np.split(inner, np.flatnonzero(np.diff(want[inner])) + 1) if len(inner) else []:
+        c = want[rows[0]] - 1
+        logits = states[rows] @ model.inside[c].T + model.inside_bias[c]
+        soft = np.exp(logits - _log_sum(logits)[:, None])
+        soft[np.arange(len(rows)), place[rows]] -= 1
+        soft *= share[rows][:, None]
+        g_inside[c], g_inside_bias[c] = soft.T @ states[rows], soft.sum(axis=0)
+        back[rows] += soft @ model.inside[c]
+    back = back.reshape(token.shape[1], len(token), STATE)
     behind = np.zeros_like(h)
+    through: list[np.ndarray] = []
     for t in reversed(range(token.shape[1])):
         before, update, reset, new = past[t]
-        state = outputs[t]
-        rows = np.arange(len(state))
-        logits = state @ model.classes + model.class_bias
-        soft = np.exp(logits - _log_sum(logits)[:, None])
-        soft[rows, wanted[:, t]] -= 1
-        soft *= share
-        g_classes += state.T @ soft
-        g_bias += soft.sum(axis=0)
-        back = behind + soft @ model.classes.T
-        inner = np.flatnonzero(slot[:, t] >= 0)
-        if len(inner):
-            c = wanted[inner, t] - 1
-            weights = model.inside[c]
-            logits = np.einsum("nwh,nh->nw", weights, state[inner]) + model.inside_bias[c]
-            soft = np.exp(logits - _log_sum(logits)[:, None])
-            soft[np.arange(len(inner)), slot[inner, t]] -= 1
-            soft *= share
-            np.add.at(g_inside, c, soft[:, :, None] * state[inner][:, None, :])
-            np.add.at(g_inside_bias, c, soft)
-            back[inner] += np.einsum("nw,nwh->nh", soft, weights)
-        d_update = back * (new - before) * update * (1 - update)
-        d_new = back * update * (1 - new * new)
+        own = behind + back[t]
+        d_new = own * update * (1 - new * new)
         d_gated = d_new @ model.candidate.T
-        d_reset = d_gated * before * reset * (1 - reset)
-        g_candidate += (reset * before).T @ d_new
-        gates = np.concatenate((d_update, d_reset), axis=1)
-        g_recur += before.T @ gates
-        np.add.at(g_inputs, token[:, t], np.concatenate((gates, d_new), axis=1))
-        behind = back * (1 - update) + d_gated * reset + gates @ model.recur.T
+        gates = np.concatenate((own * (new - before) * update * (1 - update), d_gated * before * reset * (1 - reset)), axis=1)
+        through.append(np.concatenate((gates, d_new), axis=1))
+        behind = own * (1 - update) + d_gated * reset + gates @ model.recur.T
         behind = np.where(fresh[:, t : t + 1], np.float32(0), behind)
-    return grads, h
+    d_inputs = np.concatenate(through[::-1])
+    before = np.concatenate([p[0] for p in past])
+    gated = np.concatenate([p[2] * p[0] for p in past])
+    g_recur, g_candidate = before.T @ d_inputs[:, : 2 * STATE], gated.T @ d_inputs[:, 2 * STATE :]
+    g_inputs = np.zeros_like(model.inputs)
+    order = np.argsort(ids, kind="stable")
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(ids[order])) + 1))
+    g_inputs[ids[order][starts]] = np.add.reduceat(d_inputs[order], starts, axis=0)
+    return [g_inputs, g_recur, g_candidate, g_classes, g_bias, g_inside, g_inside_bias], h
 
 
 def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -365,33 +447,81 @@ def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarra
 # ---------------------------------------------------------------- Spark
 
 
+def _placed(v: Vocabulary, known_tails: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank of each word (-1: rare), its ending class, and where the rare ones stand."""
+    at = v.places(words)
+    rare = np.flatnonzero(at < 0)
+    tails = known_tails[at] if len(known_tails) else np.zeros(len(at), dtype=np.int64)
+    if len(rare):
+        tails[rare] = [v.tail(words[i]) for i in rare]
+    return at, tails, rare
+
+
+def learn_model(training: DataFrame, v: Vocabulary) -> tuple[Model, int]:
+    """The model of all documents given, and on how many tokens (with ends) it was trained."""
+    progress, trained = Progress.fresh(v), 0
+    if not v.documents:
+        return progress.model(v), trained
+    texts = _texts(training)
+    context = training.sparkSession.sparkContext
+    vocabulary = context.broadcast(v)
+    ends = [share for share in ROUNDS if share == 1 or share * v.tokens >= TRAINER_TOKENS]
+    for _ in range(min(MOST_PASSES, -(-PASS_TOKENS // v.tokens))):
+        for begin, end in zip([0, *ends], ends):
+            tokens = (end - begin) * v.tokens
+            place = hash_place("doc_id")
+            rows = spread(texts.filter((place >= int(begin * HASH_STEPS)) & (place < int(end * HASH_STEPS))).select("text"))
+            trainers = max(1, int(tokens / TRAINER_TOKENS))
+            streams = max(8, min(STREAMS, int(tokens) // (64 * WINDOW)))
+            progress = _round(rows.coalesce(trainers), vocabulary, progress, streams)
+            trained += progress.tokens
+    return progress.model(v), trained
+
+
+def _round(rows: DataFrame, vocabulary: Broadcast, before: Progress, streams: int) -> Progress:
+    """Every task trains on its rows; the mean of what they come to, by tokens."""
+    shared = rows.sparkSession.sparkContext.broadcast(before)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _one_thread()
+        v = vocabulary.value
+        known_tails = v.tails()
+
+        def documents() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for text in batch["text"]:
+                    at, tails, _ = _placed(v, known_tails, words_of(text))
+                    yield targets(v, at, tails)
+
+        after = train(v, documents(), shared.value, streams)
+        if after.tokens:
+            values = _flat([after.weights, after.first, after.second])
+            blocks = [values[i : i + BLOCK].tobytes() for i in range(0, len(values), BLOCK)]
+            yield pd.DataFrame({"block": range(len(blocks)), "tokens": after.tokens, "steps": after.steps, "values": blocks})
+
+    def average(found: pd.DataFrame) -> pd.DataFrame:
+        weights = found["tokens"].to_numpy(dtype=np.float64)
+        values = np.average([np.frombuffer(b, dtype=np.float32) for b in found["values"]], axis=0, weights=weights)
+        return pd.DataFrame({
+            "block": found["block"].iloc[:1], "tokens": int(weights.sum()), "steps": np.average(found["steps"], weights=weights),
+            "values": [values.astype(np.float32).tobytes()],
+        })
+
+    schema = "block int, tokens long, steps double, values binary"
+    # as many rows as a model has blocks
+    blocks = sorted(rows.mapInPandas(work, schema).groupBy("block").applyInPandas(average, schema).collect(), key=lambda r: r["block"])
+    shared.unpersist()
+    if not blocks:
+        return Progress(before.weights, before.first, before.second, before.steps)
+    values = np.concatenate([np.frombuffer(r["values"], dtype=np.float32) for r in blocks])
+    return Progress(*(part.copy() for part in np.split(values, 3)), blocks[0]["steps"], blocks[0]["tokens"])
+
+
 def learn(training: DataFrame) -> tuple[Vocabulary, Model, DataFrame]:
     """Vocabulary and model from ``doc_id``, ``text`` rows, and the staged word counts."""
     counts = stage(count_words(training), "word-counts")
     vocabulary = learn_vocabulary(counts, training.count())
-    shared = training.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def stretch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = shared.value
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"]):
-                words = words_of(text)
-                start = (doc_id * 7_919) % max(1, len(words) - STRETCH + 2)
-                words = words[start : start + STRETCH]
-                at = v.places(words)
-                rows.append((doc_id, at, np.array([v.tail(w) for w in words], dtype=np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "places", "tails"])
-
-    ids = least_by_hash(training.filter("doc_id is not null").select("doc_id"), "doc_id", SAMPLE_DOCS).distinct()
-    sample = _texts(training).join(F.broadcast(ids), "doc_id", "left_semi")  # bounded by SAMPLE_DOCS
-    rows = sample.repartition(8).mapInPandas(stretch, "doc_id long, places array<long>, tails array<long>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    stretches = [
-        targets(vocabulary, np.asarray(p, dtype=np.int64), np.asarray(t, dtype=np.int64))
-        for p, t in zip(rows["places"], rows["tails"])
-    ]
-    return vocabulary, train(vocabulary, stretches), counts
+    return vocabulary, learn_model(training, vocabulary)[0], counts
 
 
 def score(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: DataFrame) -> DataFrame:
@@ -399,6 +529,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: DataFra
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _one_thread()
         v, m = shared.value
         known_tails = v.tails()
         known_log = np.log10(v.count + ADDED) if len(v.count) else np.zeros(1)
@@ -408,11 +539,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: DataFra
             prepared, rows = [], []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 words = words_of(text)
-                at = v.places(words)
-                rare = np.flatnonzero(at < 0)
-                tails = known_tails[at] if len(known_tails) else np.zeros(len(at), dtype=np.int64)
-                if len(rare):
-                    tails[rare] = [v.tail(words[i]) for i in rare]
+                at, tails, rare = _placed(v, known_tails, words)
                 seen = at[at >= 0]
                 prepared.append(targets(v, at, tails))
                 # what is settled here of a tail word's probability; rare words' counts come later
