@@ -449,3 +449,19 @@ def test_captures_meet_entries_of_their_time(spark):
     assert "Python" not in got._jdf.queryExecution().toString()
 
 
+def test_patterns_of_any_depth_match(spark):
+    at = datetime(2024, 1, 1)
+    deep = "a.b.c.d.e.f.g.h.example.org"  # ten labels
+    patterns = ["x.example.org/a/b/c", "p.x.example.org/A/b/c/d/e", deep, "b.c.d.e.f.g.h.example.org/one", "a.b.c.d.e.f.g.h", "h.example.org"]
+    entries = spark.createDataFrame([("l", p, "add", p, at) for p in patterns], "list_name string, pattern string, action string, verdict string, listed_at timestamp")
+    expected = {
+        "http://x.example.org/a/b/c/d": "x.example.org/a/b/c",
+        "http://p.x.example.org/A//b/c/d/e?q": "p.x.example.org/A/b/c/d/e",
+        "http://p.x.example.org/a/b/": "none",
+        f"http://{deep}/two": deep,
+        f"http://z.{deep}/": deep,
+        "http://z.b.c.d.e.f.g.h.example.org/one/two": "b.c.d.e.f.g.h.example.org/one",
+        "http://z.b.c.d.e.f.g.h.example.org/": "h.example.org",
+    }
+    rows = spark.createDataFrame([(u, at) for u in expected], "url string, fetched_at timestamp")
+    assert {r.url: r.verdict for r in url_lists.evaluate(rows, entries).collect()} == expected

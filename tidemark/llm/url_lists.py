@@ -5,7 +5,8 @@ entries into intervals of one pattern and list; ``evaluate`` looks up every capt
 entries that were active when it was fetched, not among those of today.
 
 A pattern is a host with or without its first path segments (``b.example.org/en``); it covers the
-host, the hosts below it, and the paths below it. A capture therefore has a bounded number of keys.
+host, the hosts below it, and the paths below it. A capture has one key for every pair of label and
+segment counts that some pattern has and that its host and path reach, so every pattern can match.
 Intervals are cut at months, and captures meet them on (key, month): all intervals of a pattern in
 a month are one row, so a host with a third of all captures meets one row each time, in a join that
 adaptive execution can split, and never all versions of its pattern.
@@ -29,8 +30,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.llm.tables import stage, unused
 
 ADD, REMOVE = "add", "remove"
-PATH_SEGMENTS = 2
-LABELS = 8
 RESULT = ("verdict", "list_name", "pattern", "listed_at")
 
 
@@ -40,32 +39,43 @@ def plain_host(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r"\.?(:[0-9]*)?$", ""))
 
 
-def keys_of(url: Column) -> Column:
-    """All patterns that would cover a URL: its host and parents, each with up to two path segments.
+def plain_pattern(pattern: Column) -> Column:
+    """Pattern with a lower-case host; paths keep their case."""
+    return F.concat(F.lower(F.regexp_extract(pattern, "^[^/]*", 0)), F.regexp_extract(pattern, r"(?s)^[^/]*(/.*)?$", 1))
 
-    Hosts deeper than ``LABELS`` labels keep the last ones, as no pattern is longer.
-    """
+
+def depths_of(patterns: DataFrame) -> list[tuple[int, int]]:
+    """The pairs of host labels and path segments that patterns have; as many as there are shapes of patterns."""
+    parts = F.split("pattern", "/")
+    shapes = patterns.select(F.size(F.split(parts[0], r"\.")).alias("labels"), (F.size(parts) - 1).alias("segments"))
+    return sorted((r["labels"], r["segments"]) for r in shapes.distinct().collect())
+
+
+def keys_of(url: Column, depths: list[tuple[int, int]]) -> Column:
+    """All patterns of these depths that would cover a URL: last labels of its host with first segments of its path."""
     labels = F.split(plain_host(url), r"\.")
     path = F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
-    segments = F.slice(F.array_remove(F.split(path, "/"), ""), 1, PATH_SEGMENTS)
+    segments = F.array_remove(F.split(path, "/"), "")
+    none = F.array().cast("array<string>")
+    if not depths:
+        return none
 
-    def host_from(labels: Column) -> Column:
-        # two labels at least: no list names a whole top-level domain
-        starts = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, LABELS), "."))
+    def keys(labels: Column, segments: Column) -> Column:
+        pairs = F.array(*[F.struct(F.lit(n).alias("labels"), F.lit(m).alias("segments")) for n, m in depths])
+        fit = F.filter(pairs, lambda d: (d["labels"] <= F.size(labels)) & (d["segments"] <= F.size(segments)))
+        host = lambda d: F.array_join(F.slice(labels, F.size(labels) - d["labels"] + 1, d["labels"]), ".")
+        tail = lambda d: F.array_join(F.slice(segments, F.lit(1), d["segments"]), "/")
+        return F.transform(fit, lambda d: F.concat(host(d), F.when(d["segments"] > 0, "/").otherwise(""), tail(d)))
 
-    hosts = F.transform(F.array(labels), host_from)[0]
-    tails = F.transform(
-        F.sequence(F.lit(0), F.size(segments)),
-        lambda n: F.concat(F.when(n > 0, "/").otherwise(""), F.array_join(F.slice(segments, 1, n), "/")),
-    )
-    keys = F.flatten(F.transform(hosts, lambda host: F.transform(tails, lambda tail: F.concat(host, tail))))
-    return F.when(plain_host(url) != "", F.array_distinct(keys)).otherwise(F.array().cast("array<string>"))
+    # split once, not once a key
+    split = F.array(F.struct(labels.alias("labels"), segments.alias("segments")))
+    found = F.transform(split, lambda x: keys(x["labels"], x["segments"]))[0]
+    return F.when(plain_host(url) != "", found).otherwise(none)
 
 
 def validity(entries: DataFrame) -> DataFrame:
     """Intervals ``[listed_at, until)`` from ``list_name``, ``pattern``, ``action``, ``verdict``, ``listed_at``."""
-    known = entries.select("list_name", F.lower("pattern").alias("pattern"), "action", "verdict", "listed_at").dropna(
+    known = entries.select("list_name", plain_pattern(F.col("pattern")).alias("pattern"), "action", "verdict", "listed_at").dropna(
         subset=["list_name", "pattern", "action", "listed_at"]
     )
     at_once = (
@@ -97,11 +107,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     last = rows.agg(F.max(time).cast("date").alias("last")).first()["last"]
     # written once, so that both sides of the joins come from plain exchanges that can be split
     listed = stage(by_month(validity(entries), F.lit(last).cast("date")), "listed")
+    depths = depths_of(listed)
     asked = (
         rows.select(F.col(f"`{url}`").alias("_url"), F.col(time).alias("_at"))
         .filter("_at is not null")
         .distinct()
-        .select("_url", "_at", F.explode(keys_of(F.col("_url"))).alias("pattern"), F.trunc("_at", "MM").alias("month"))
+        .select("_url", "_at", F.explode(keys_of(F.col("_url"), depths)).alias("pattern"), F.trunc("_at", "MM").alias("month"))
     )
     found = asked.join(listed, ["pattern", "month"]).select(
         "_url",
