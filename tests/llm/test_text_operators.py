@@ -100,6 +100,14 @@ def test_near_dedup_of_odd_rows(odd_docs, odd_rows, no_docs):
     assert simhash.group_documents(no_docs).count() == 0
 
 
+def test_every_group_keeps_one_row_of_repeated_ids(spark):
+    x, y, z = (" ".join(f"{c}{k * k % 97}" for k in range(80)) for c in "xyz")
+    rows = [(5, x), (9, x), (5, y), (2, y), (7, z), (7, x + " tail"), (7, z), (3, z + " ")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = sorted((r.text[0], r.doc_id) for r in kept)
+    assert groups == [("x", 5), ("y", 2), ("z", 3)]
+
+
 def test_long_text_fingerprint_in_blocks(monkeypatch):
     text = b" ".join(b"w%d" % (i * i % 977) for i in range(5_000))
     whole = simhash.fingerprint_of(text)

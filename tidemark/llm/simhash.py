@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.tables import spread, stage
+from tidemark.llm.tables import spread, stage, unused
 
 SHINGLE_WORDS = 4
 TOLERANCE = 4
@@ -72,16 +72,21 @@ def fingerprint_of(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > shingles).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id``, ``fp``: the fingerprint as a signed long, of every row."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, hashed: bool = False) -> DataFrame:
+    """``doc_id``, ``fp``: the fingerprint as a signed long, of every row; ``text_hash`` if asked for."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array([fingerprint_of(t, words) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values.view(np.int64)})
+            yield batch.drop(columns="text").assign(fp=values.view(np.int64))
 
-    whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
-    return spread(whole).mapInPandas(compute, "doc_id long, fp long")
+    more = [text_hash().alias("text_hash")] if hashed else []
+    whole = docs.select(F.col("doc_id").cast("long"), *more, F.col("text").cast("string").cast("binary").alias("text"))
+    return spread(whole).mapInPandas(compute, "doc_id long, " + "text_hash long, " * hashed + "fp long")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 # ---------------------------------------------------------------- layout
@@ -268,30 +273,42 @@ def _point_masks(errors: int) -> tuple[int, ...]:
     return tuple(error_masks(range(BITS), errors))
 
 
+def _grouped(prints: DataFrame, first: Column, tolerance: int, hot_key: int) -> DataFrame:
+    """The staged fingerprints with ``_first``: the least of an aggregate over the component."""
+    nodes = stage(prints.groupBy("fp").agg(F.min(first).alias("_first")), "nodes")
+    stars = connected(links(nodes, tolerance, hot_key), "a", "b")
+    rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "_first", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("_first").alias("_first"))
+    named = rooted.drop("_first").join(least, "root").select("fp", "_first")
+    return prints.join(named, "fp")
+
+
 def group_documents(docs: DataFrame, words: int = SHINGLE_WORDS, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` of every row."""
     prints = stage(fingerprints(docs, words), "fingerprints")
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "nodes")
-    stars = connected(links(nodes, tolerance, hot_key), "a", "b")
-    rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select(
-        "fp", "first_doc", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(prints, F.col("doc_id"), tolerance, hot_key).select("doc_id", "fp", F.col("_first").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Documents without those whose component has a smaller id; repeated rows once.
+    """One row of every component: of its smallest id, and there of the smallest text hash.
 
-    Rows without an id are kept: no component can name them.
+    Rows of one id with different texts are told apart. Rows without an id are kept: no component
+    can name them.
     """
-    groups = stage(group_documents(docs), "groups")
-    later = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_later")).distinct()
-    kept = docs.join(later, docs["doc_id"] == later["_later"], "left_anti")
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    prints = stage(fingerprints(docs, hashed=True), "fingerprints")
+    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    groups = stage(_grouped(prints, own, TOLERANCE, HOT_KEY).filter("doc_id is not null"), "groups")
+    later = groups.filter(F.struct("doc_id", "text_hash") != F.col("_first"))
+    later = later.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    mark, later_id = unused(docs, "_text_hash"), unused(docs, "_later_id")
+    later = later.withColumnRenamed("_id", later_id).withColumnRenamed("_hash", unused(docs, "_later_hash"))
+    marked = docs.withColumn(mark, text_hash())
+    kept = marked.join(
+        later, (F.col("doc_id") == F.col(later_id)) & (F.col(mark) == F.col(later.columns[1])), "left_anti"
+    )
+    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if repeated.limit(1).collect():
-        # an id that stands in several rows: one of them stays
-        with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+        # a row that is repeated: one of them stays
+        with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id", mark])
         kept = with_id.union(kept.filter("doc_id is null"))
-    return kept
+    return kept.drop(mark)
