@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog.registry import Query
-from tidemark.llm import gru_lm, html_template, language, minhash, packing, quality_rules, quality_trees, segmentation, simhash, url_lists
+from tidemark.llm import (
+    alignment, gru_lm, html_template, jaccard_fragments, language, minhash, packing, quality_rules, quality_trees, segmentation,
+    simhash, spelling, url_lists,
+)
 from tidemark.llm.tables import crc32_remainder, read, ship_code
 from tidemark.session import prepare
 
@@ -239,3 +242,48 @@ def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best piece ids, the best scores and the round trip of every document."""
     return segmentation.segment_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), placed AS (
+    SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS place FROM cut WHERE len(words) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[place:place + 3], ' ') AS shingle FROM placed
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), reach AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.b, d.doc_id))::BIGINT AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
+@register("op11_jaccard_fragments", OP11_SQL)
+def op11_jaccard_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size of every document and the smallest id that links of similar sets reach from it."""
+    return jaccard_fragments.group_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op12_pointer_alignment")
+def op12_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of a byte-level and a piece tokenizer, for every document."""
+    return alignment.align(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its near words, its form and the root of its forms."""
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
