@@ -14,10 +14,12 @@ from tidemark.operators import changes as ops
 from tidemark.operators.asof import asof_join, unmatched_rows
 from tidemark.operators.feeds import combine_feeds, consolidate, forward_fill
 from tidemark.operators.history import build_history, current_versions, detect_changes, range_faults
+from tidemark.operators.kept_history import bucket_of, merge_history, read_history
 from tidemark.operators.ranking import latest_per_key
 from tidemark.operators.timeline import settled
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources import topics
+from tidemark.sources.files import list_files
 from tidemark.streaming.upserts import current_rows, start_upsert
 
 
@@ -88,6 +90,27 @@ def scd2_with_deletes(spark, sf_dir):
     )
 
 
+@query("scd2_incremental", f"WITH {_DELETE_HISTORY} SELECT {_HISTORY_COLUMNS}, true AS others_untouched FROM h")
+def scd2_incremental(spark, sf_dir):
+    """The history again, merged from batches: later changes first, then late ones, then one bucket's once more."""
+    path = workspace.fresh_folder(spark, "kept-history")
+    rows = segment_rows(spark, sf_dir)
+    by = (["user_id"], ops.CHANGE_ORDER, ["segment"], "is_delete", 16)
+    early = F.col("change_ts") < F.lit("1998-06-01").cast("timestamp")
+    third = F.pmod(F.col("lsn"), F.lit(3))
+    merge_history(rows.filter(~early), path, *by)
+    merge_history(rows.filter(early & (third == 0)), path, *by)
+    merge_history(rows.filter(early & (third != 0)), path, *by)
+    before = {r.path for r in list_files(spark, path).collect()}
+    rewritten = merge_history(rows.filter(bucket_of(["user_id"], 16) == 5), path, *by)
+    kept = {r.path for r in list_files(spark, path).collect()}
+    untouched = rewritten == [5] and all("_bucket=5/" in p for p in before ^ kept)
+    history = read_history(spark, path, rows.schema, "is_delete")
+    return shown_range(history).select(
+        "user_id", "segment", "valid_from", "valid_to", "is_current", "bronze_offset", F.lit(untouched).alias("others_untouched")
+    )
+
+
 @query(
     "change_detect",
     f"""

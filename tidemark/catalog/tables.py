@@ -11,6 +11,7 @@ from tidemark.functions.casts import exact_sum, stamp
 from tidemark.operators import changes as ops
 from tidemark.operators import upkeep
 from tidemark.plans import analytics
+from tidemark.sources import files
 from tidemark.sources.tables import append_rows, publish, read_table, register_views, with_month, write_snapshot
 
 
@@ -174,6 +175,132 @@ def update_stored(spark, sf_dir):
     return _totals(spark.read.schema(stored.schema).parquet(path), "o_orderstatus")
 
 
+@query(
+    "update_moves_partition",
+    f"""
+WITH u AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'F' WHEN o_orderkey % 3 = 1 THEN 'a:b/c %=?#' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+  FROM orders)
+SELECT o_orderstatus, count(*) AS rows, {_SUM} FROM u GROUP BY 1
+""",
+)
+def update_moves_partition(spark, sf_dir):
+    """Rows that move to a partition with other rows, and to one whose name needs escapes."""
+    path = workspace.fresh_folder(spark, "moved")
+    by = ["o_orderstatus"]
+    stored = write_snapshot(table(spark, sf_dir, "orders"), path, by)
+    kind = F.col("o_orderkey") % 3
+    upkeep.update_stored(stored, path, by, kind == 0, {"o_orderstatus": F.lit("F")})
+    upkeep.update_stored(stored, path, by, kind == 1, {"o_orderstatus": F.lit("a:b/c %=?#")})
+    return _totals(spark.read.schema(stored.schema).parquet(path), "o_orderstatus")
+
+
+_ODD_NAMES = ["a:b", "x/y", "50%", "two words", "k=v", "plain", None]
+
+
+@query(
+    "delete_partition_escaped",
+    f"""
+WITH named AS (SELECT CASE o_orderkey % 7 {' '.join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_ODD_NAMES) if n)} END AS name, o_totalprice FROM orders)
+SELECT name, count(*) AS rows, {_SUM} FROM named WHERE name IN ('plain', 'k=v') GROUP BY 1
+""",
+)
+def delete_partition_escaped(spark, sf_dir):
+    """Whole partitions go, whatever their names are."""
+    path = workspace.fresh_folder(spark, "deleted")
+    names = F.array(*[F.lit(n) for n in _ODD_NAMES])
+    orders = table(spark, sf_dir, "orders").withColumn("name", F.get(names, (F.col("o_orderkey") % 7).cast("int")))
+    stored = write_snapshot(orders.select("o_orderkey", "o_totalprice", "name"), path, ["name"])
+    for name in _ODD_NAMES:
+        if name not in ("plain", "k=v"):
+            upkeep.delete_stored(stored, path, ["name"], F.col("name").eqNullSafe(F.lit(name)))
+    return _totals(spark.read.schema(stored.schema).parquet(path), "name")
+
+
+@query(
+    "merge_touched_files",
+    """
+WITH top AS (SELECT max(o_orderkey) AS last FROM orders),
+updates AS (SELECT o_orderkey, o_orderpriority, o_totalprice + 1 AS price, o_orderdate + INTERVAL 1 DAY AS changed_at FROM orders, top WHERE o_orderkey < last // 20
+  UNION ALL SELECT -1 - o_orderkey, o_orderpriority, o_totalprice, o_orderdate FROM orders WHERE o_orderkey % 1000 = 7)
+SELECT o_orderkey, o_orderpriority, price, strftime(changed_at, '%Y-%m-%d %H:%M:%S.%f') AS changed_at, true AS others_untouched FROM (
+  SELECT * FROM updates UNION ALL
+  SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM updates))
+""",
+)
+def merge_touched_files(spark, sf_dir):
+    """A merge of the lowest twentieth of keys and of new ones; the other files keep their names."""
+    path = workspace.fresh_folder(spark, "merged")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("changed_at")
+    )
+    rows.repartitionByRange(16, "o_orderkey").write.parquet(path)
+    stored = spark.read.parquet(path)
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    raised = rows.filter(F.col("o_orderkey") < last // 20).withColumns(
+        {"price": F.col("price") + 1, "changed_at": F.timestamp_add("DAY", F.lit(1), F.col("changed_at"))}
+    )
+    added = rows.filter("o_orderkey % 1000 = 7").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    before = {r.path for r in files.list_files(spark, path).collect()}
+    rewritten = upkeep.merge_stored(stored, path, [], raised.unionByName(added), ["o_orderkey"], ["changed_at"])
+    after = {r.path for r in files.list_files(spark, path).collect()}
+    untouched = rewritten < len(before) and len(before & after) == len(before) - rewritten
+    return spark.read.schema(stored.schema).parquet(path).withColumns(
+        {"changed_at": stamp(F.col("changed_at")), "others_untouched": F.lit(untouched)}
+    )
+
+
+@query(
+    "compact_binpack",
+    f"SELECT o_orderstatus, count(*) AS rows, {_SUM}, true AS fewer_files, true AS large_kept FROM orders GROUP BY 1",
+)
+def compact_binpack(spark, sf_dir):
+    """Small files are merged in place; files above 90 % of the target keep their names."""
+    path = workspace.fresh_folder(spark, "binpack")
+    orders = table(spark, sf_dir, "orders")
+    orders.repartition(1).write.partitionBy("o_orderstatus").parquet(path)
+    large = files.list_files(spark, path).agg(F.min("bytes")).first()[0]
+    orders.filter("o_orderkey % 10 = 0").repartition(16).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    before = files.list_files(spark, path).collect()
+    stored = spark.read.schema(stored_schema_of(orders, "o_orderstatus")).parquet(path)
+    upkeep.compact_binpack(spark, path, stored.schema, ["o_orderstatus"], target_bytes=large)
+    after = {r.path for r in files.list_files(spark, path).collect()}
+    kept = all(r.path in after for r in before if r.bytes >= 0.9 * large)
+    rows = spark.read.schema(stored.schema).parquet(path)
+    # the copies of every tenth row are taken out again to compare with the table
+    once = rows.dropDuplicates(["o_orderkey"])
+    return _totals(once, "o_orderstatus").withColumns(
+        {"fewer_files": F.lit(len(after) < len(before)), "large_kept": F.lit(kept)}
+    )
+
+
+def stored_schema_of(df: DataFrame, *partition_by: str):
+    return files.stored_schema(df.schema, partition_by)
+
+
+@query(
+    "retain_by_partition",
+    """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, true AS recent_untouched FROM r
+WHERE o_orderdate >= TIMESTAMP '2000-06-01' OR rn <= 1
+""",
+)
+def retain_by_partition(spark, sf_dir):
+    """Retention in place: months after the cutoff keep their files."""
+    path = workspace.fresh_folder(spark, "retained")
+    stored = write_snapshot(with_month(table(spark, sf_dir, "orders"), "o_orderdate"), path, ["month_start"])
+    recent = {r.path for r in files.list_files(spark, path).collect() if r.path.split("month_start=")[1][:10] >= "2000-06-01"}
+    upkeep.retain_stored(
+        spark, path, stored.schema, ["month_start"], ["o_custkey"], ["o_orderdate", "o_orderkey"], F.lit("2000-06-01").cast("timestamp")
+    )
+    after = {r.path for r in files.list_files(spark, path).collect()}
+    rows = spark.read.schema(stored.schema).parquet(path)
+    return rows.select(
+        "o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.lit(recent <= after).alias("recent_untouched"),
+    )
+
+
 @query(
     "publish_twice",
     f"SELECT o_orderstatus, count(*) AS rows, {_SUM} FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1",

@@ -2,8 +2,10 @@
 
 ``ingest-events`` takes all waiting records of shared topics into one bronze table,
 ``ingest-cdc`` those of one captured table into its own; ``build-silver`` builds chosen
-tables of the star schema; ``compact`` rewrites a table folder into larger files, ``retain``
-into one without old rows; both show the new folder under the table's name once its rows are checked.
+tables of the star schema; ``compact`` merges small files, ``retain`` removes old rows. Of a
+catalog table (``--table``) both replace just the files concerned, so that it goes on being
+written; of a folder (``--path``) they write another one and show it under a view's name, if one
+is given, once its rows are checked.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from tidemark.plans.dimensions import CALENDAR_FIRST, CALENDAR_LAST
 from tidemark.schemas import BRONZE, QUARANTINE
 from tidemark.session import build_session, has_source
 from tidemark.sources import topics
+from tidemark.sources.files import has_stream_log, is_table, refresh_table, table_location, table_partitions
 from tidemark.sources.tables import ensure_schema, ensure_table, publish, read_table, write_snapshot
 from tidemark.streaming import ingest
 
@@ -52,19 +55,19 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--calendar-first", default=CALENDAR_FIRST, help="first day of dim_date")
     job.add_argument("--calendar-last", default=CALENDAR_LAST, help="last day of dim_date")
     job = jobs.add_parser("compact")
-    job.add_argument("--path", required=True)
-    job.add_argument("--staged-path", required=True)
+    job.add_argument("--path")
+    job.add_argument("--staged-path")
     job.add_argument("--partition-by", default="event_source")
     job.add_argument("--target-bytes", type=int, default=upkeep.TARGET_FILE_BYTES)
-    job.add_argument("--table", help="name that readers use; shows the new folder when done")
+    job.add_argument("--table", help="catalog table to keep in place, or a view to show the new folder")
     job = jobs.add_parser("retain")
-    job.add_argument("--path", required=True)
-    job.add_argument("--staged-path", required=True)
+    job.add_argument("--path")
+    job.add_argument("--staged-path")
     job.add_argument("--partition-by", default="event_source")
     job.add_argument("--keys", required=True, help="comma list; the newest row of each key stays")
     job.add_argument("--order", required=True, help="comma list, the time first")
     job.add_argument("--before", required=True, help="rows older than this time go")
-    job.add_argument("--table", help="name that readers use; shows the new folder when done")
+    job.add_argument("--table", help="catalog table to keep in place, or a view to show the new folder")
     return root
 
 
@@ -130,7 +133,23 @@ def build_silver(spark: SparkSession, args: argparse.Namespace) -> None:
     star.build_star(spark, inputs, version, [t.name for t in tables], schema=args.silver_schema)
 
 
+def _stored_table(spark: SparkSession, args: argparse.Namespace) -> tuple[str, list[str]] | None:
+    """Folder and partition columns of the catalog table that a job is to keep, if it is one."""
+    if not args.table or not is_table(spark, args.table):
+        if not args.path or not args.staged_path:
+            raise ValueError("name a catalog table, or --path and --staged-path")
+        return None
+    path = table_location(spark, args.table)
+    if has_stream_log(spark, path):
+        raise ValueError(f"{args.table} has a file sink's log, which names its files; ingest into a table without one")
+    return path, table_partitions(spark, args.table)
+
+
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    if stored := _stored_table(spark, args):
+        upkeep.compact_binpack(spark, stored[0], spark.table(args.table).schema, stored[1], args.target_bytes)
+        refresh_table(spark, args.table)
+        return
     partition_by = _names(args.partition_by)
     stored = upkeep.compact(spark, args.path, args.staged_path, partition_by, args.target_bytes)
     if stored.count() != spark.read.parquet(args.path).count():
@@ -140,10 +159,18 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def retain(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = spark.read.parquet(args.path)
     cutoff = F.lit(args.before).cast("timestamp")
-    kept = upkeep.retain_recent(rows, _names(args.keys), _names(args.order), cutoff)
+    keys, order = _names(args.keys), _names(args.order)
+    if stored := _stored_table(spark, args):
+        upkeep.retain_stored(spark, stored[0], spark.table(args.table).schema, stored[1], keys, order, cutoff)
+        refresh_table(spark, args.table)
+        return
+    rows = spark.read.parquet(args.path)
+    kept = upkeep.retain_recent(rows, keys, order, cutoff)
     stored = write_snapshot(kept, args.staged_path, _names(args.partition_by))
+    recent = F.col(order[0]).isNull() | (F.col(order[0]) >= cutoff)
+    if stored.filter(recent).count() != rows.filter(recent).count():
+        raise RuntimeError(f"{args.staged_path} does not hold the recent rows of {args.path}")
     if args.table:
         publish(spark, args.table, args.staged_path, stored.schema)
 

@@ -109,12 +109,15 @@ def publish(spark: SparkSession, table: str, path: str, columns: T.StructType) -
     """Make a finished, checked path what readers of a name see; they see old or new, never half.
 
     A name is a view over one path, replaced in one catalog step. So schema and layout may change
-    from run to run, and no partition of an earlier run can stay behind. A table of that name from
-    before is dropped once; its files stay.
+    from run to run, and no partition of an earlier run can stay behind. An external table of that
+    name from before is dropped once and its files stay; a managed one would lose its files, so it is
+    refused.
     """
     if "." in table:
         ensure_schema(spark, table.rsplit(".", 1)[0])
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+    if spark.catalog.tableExists(table) and (kind := spark.catalog.getTable(table).tableType) != "VIEW":
+        if kind != "EXTERNAL":
+            raise ValueError(f"{table} is a managed table: a view of that name would cost its files")
         spark.sql(f"DROP TABLE {table}")
     fields = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {fields} FROM parquet.`{path}`")
