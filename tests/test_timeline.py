@@ -72,6 +72,48 @@ def test_slices_stay_small(spark):
     assert sizes.agg(F.max("count")).first()[0] <= 60
 
 
+@pytest.mark.parametrize("at", ["timestamp'2024-01-01'", "'2024-01-01T00:00:00'", "concat('2024-01-', lpad(id % 28, 2, '0'))"])
+def test_one_instant_and_text_times_are_cut(spark, at):
+    rows = spark.range(10_000).selectExpr("'hot' AS k", f"{at} AS at", "id", "1 AS v")
+    timeline = Timeline.of(rows, ["k"], ["at", "id"], 100)
+    attached = timeline.attach(rows)
+    assert attached.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 300
+    out = timeline.extend(attached, running={"n": F.col("v")}, previous={"p": F.col("id")}, following={"f": F.col("id")})
+    got = sorted((r.at, r.id, r.n, r.p, r.f) for r in out.collect())
+    ids = [g[1] for g in got]
+    assert [g[2] for g in got] == list(range(1, 10_001))
+    assert [g[3] for g in got] == [None, *ids[:-1]] and [g[4] for g in got] == [*ids[1:], None]
+
+
+def test_small_keys_stay_whole(spark):
+    """Only keys that go on from one slice to the next have a slice number."""
+    rows = spark.range(2_000).selectExpr("CASE WHEN id < 1500 THEN 'hot' ELSE concat('k', id % 100) END AS k", "id AS at", "1 AS v")
+    attached = Timeline.of(rows, ["k"], ["at"], 100).attach(rows)
+    whole = attached.filter("_slice = -1").select("k").distinct().count()
+    assert whole >= 85
+    assert attached.filter("_slice >= 0").filter("k = 'hot'").count() == 1_500
+
+
+SLICED = [
+    "scd2_history", "scd2_current", "scd2_with_deletes", "change_detect", "scd2_overlap_check", "asof_scd2_join", "asof_window_variant",
+    "forward_fill", "dim_customer_profile", "dim_product_catalog", "dim_warehouse", "offset_gaps", "stock_running_total",
+    "stock_reconcile", "fact_inventory_position", "scd2_incremental",
+]
+
+
+@pytest.mark.parametrize("key", SLICED)
+def test_queries_equal_sql_where_keys_are_cut(spark, monkeypatch, key):
+    """Every query along a timeline with slices of some thirty rows."""
+    import __spark_entry__ as entry
+    from oracle import connect, differences
+    from tidemark.operators import timeline
+
+    monkeypatch.setattr(timeline, "ONE_TASK_BYTES", 0)
+    monkeypatch.setattr(timeline, "ROWS_PER_TASK", 30)
+    folder = "/root/testdata/sf0.001"
+    assert differences(entry.queries()[key](spark, folder), connect(folder), entry.oracle_sql()[key]) == ""
+
+
 def _history_brute(rows):
     """rows: (key, at, id, state, deleted)"""
     versions = []

@@ -24,14 +24,12 @@ def detect_changes(
     order: Sequence[str],
     state: Sequence[str],
     timeline: Timeline | None = None,
-    carry_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose state differs from the row before (NULL-safe), plus each key's first row."""
     changes, timeline = settled(changes, keys, order, timeline)
     seen = timeline.extend(
         timeline.attach(changes),
         previous={"_before": F.struct(*[F.col(c) for c in state])},
-        carry_from=carry_from,
     )
     # a struct of state columns is never NULL itself, so NULL means "no row before"
     different = reduce(
@@ -57,14 +55,16 @@ def build_history(
     """
     at = order[0]
     changes, timeline = settled(changes, keys, order, timeline)
+    sliced = timeline.cuts is not None  # every step then reads its rows twice
     changes = timeline.attach(changes)
-    rows = timeline.extend(changes, following={"_next": F.col(at)}, within_slices=True)
+    rows = timeline.extend(settle(changes, "changes", above=0) if sliced else changes, following={"_next": F.col(at)})
     last_of_instant = rows.filter(~F.col("_next").eqNullSafe(F.col(at))).drop("_next")
+    if sliced:
+        last_of_instant = settle(last_of_instant, "instants", above=0)
     compared = [*state, deleted] if deleted else list(state)
-    # the last row of a slice is the last of its instant, so all rows give the same carry
-    versions = detect_changes(last_of_instant, keys, order, compared, timeline, carry_from=changes)
-    if timeline.cuts is not None:
-        versions = settle(versions, "versions")
+    versions = detect_changes(last_of_instant, keys, order, compared, timeline)
+    if sliced:
+        versions = settle(versions, "versions", above=0)
     ended = timeline.extend(versions, following={"_end": F.col(at)})
     if deleted:
         ended = ended.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)

@@ -69,7 +69,7 @@ def _versions(
     marked = seen.withColumn(OPENS, F.col("_before").isNull() | differs).drop("_before")
     # a version ends where the next one opens: the earliest opening behind a row
     if timeline.cuts is not None:
-        marked = settle(marked, "marked")
+        marked = settle(marked, "marked", above=0)
     opening = timeline.extend(marked.filter(OPENS), following={"_end": F.col(at)})
     repeats = marked.filter(~F.col(OPENS)).withColumn("_end", F.lit(None).cast("timestamp"))
     return timeline.detach(

@@ -1,17 +1,20 @@
-"""Ordered computations per key that survive hot keys.
+"""Ordered computations per key that survive hot keys and hot instants.
 
 Previous row, next row, last known value and running sum all need the rows of a key in
 order. A plain window gives one key to one task, which fails when one key holds a large
 share of the table. A :class:`Timeline` looks at the key sizes first:
 
 * no key above ``rows_per_task``: plain windows, one shuffle, one sort;
-* otherwise the rows of hot keys are cut into consecutive slices of their order column at
-  approximate quantiles, windows run per (key, slice), and what each slice hands on to its
-  neighbours comes from one aggregated row per slice. No row is dropped or approximated:
-  quantiles only decide where to cut.
-
-The number of hot keys is bounded (``MAX_HOT_KEYS``), so the cut points can be broadcast whatever
-the size of the data. What slices hand on is written and broadcast only where its size allows.
+* otherwise all rows are range-partitioned by keys and the *full* order into slices of about that
+  size, wherever a key or an instant ends, and written once with their slice number. Windows run
+  per (key, slice); each slice that shares a key with its neighbours is summed up in one row, an
+  exclusive scan over these rows tells what comes before (or after) it, and that is joined back.
+  No row is dropped or approximated: where the ranges are cut decides nothing but their sizes.
+
+Keys that lie in one slice whole need no carry; they have slice number ``WHOLE``. Only the first and
+last key of a slice can be in another one, so there are at most two summary rows per slice, and the
+number of slices is bounded (``MAX_SLICES``). What slices hand on is written and broadcast only where
+its size allows. Only rows that are equal in keys and order cannot be parted; orders here are total.
 """
 
 from __future__ import annotations
@@ -26,40 +29,10 @@ from tidemark.operators.settle import settle
 from tidemark.operators.sizing import ONE_TASK_BYTES, broadcast_if_small, input_bytes
 
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_KEYS = 65_536
-QUANTILE_CUTS = 32
-MAX_SLICES = 4_000_000
+MAX_SLICES = 10_000
 
 SLICE = "_slice"
-
-
-def _position(column: Column, kind: T.DataType) -> Column:
-    """Order column as a whole number that never falls where the column rises.
-
-    Only slices depend on it: values that share a number share a slice.
-    """
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(column.cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("bigint")
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return column.cast("bigint")
-    if isinstance(kind, T.BooleanType):
-        return column.cast("bigint")
-    if isinstance(kind, T.StringType):
-        first = F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7))
-        return F.conv(F.rpad(first, 14, "0"), 16, 10).cast("bigint")
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        value = column.cast("double")
-        size = F.log1p(F.abs(value)) * F.lit(1e15)  # at most 7.1e17
-        number = F.when(value < 0, -size).otherwise(size)
-        # NaN sorts last, infinities beside it
-        return F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.when(value < 0, F.lit(-(10**18))).otherwise(F.lit(10**18))).otherwise(
-            F.floor(number)
-        ).cast("bigint")
-    raise TypeError(f"cannot slice along a column of type {kind.simpleString()}")
+WHOLE = -1
 
 
 def _null_safe_match(keys: Sequence[str], prefix: str) -> Column:
@@ -76,7 +49,7 @@ class Timeline:
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    cuts: DataFrame | None = None
+    cuts: int | None = None  # number of slices, where they are in use
 
     @classmethod
     def of(
@@ -91,38 +64,17 @@ class Timeline:
         Input that fits one task needs no look at its keys. ``rows_per_task`` forces the look.
         """
         keys, order = tuple(keys), tuple(order)
-        first = order[0]
-        position = _position(F.col(first), df.schema[first].dataType)  # refuses types at every size
+        kind = df.schema[order[0]].dataType  # refused at every size
+        if isinstance(kind, (T.ArrayType, T.MapType, T.VariantType)):
+            raise TypeError(f"cannot slice along a column of type {kind.simpleString()}")
         if rows_per_task is None and input_bytes(df) <= ONE_TASK_BYTES:
             return cls(keys, order)
         limit = rows_per_task or ROWS_PER_TASK
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-        if total is None:
-            return cls(keys, order)
-        floor = max(limit, total // MAX_HOT_KEYS)
-        if largest <= floor:
+        if total is None or largest <= limit:
             return cls(keys, order)
-
-        # every hot key has QUANTILE_CUTS slices, larger ones one more per ``target`` rows
-        target = max(limit, total // (MAX_SLICES - MAX_HOT_KEYS * QUANTILE_CUTS))
-        steps = [i / QUANTILE_CUTS for i in range(QUANTILE_CUTS + 1)]
-        # at most MAX_HOT_KEYS keys can each hold more than total / MAX_HOT_KEYS rows
-        hot = sizes.filter(F.col("_rows") > floor).select(*[F.col(k).alias("_hot_" + k) for k in keys], "_rows")
-        cuts = (
-            df.select(*keys, position.alias("_position"))
-            .join(F.broadcast(hot), _null_safe_match(keys, "_hot_"))
-            .groupBy(*["_hot_" + k for k in keys])
-            .agg(
-                F.percentile_approx("_position", steps, 2_000).alias("_cuts"),
-                F.max("_rows").alias("_rows"),
-            )
-            .withColumn("_parts", F.ceil(F.col("_rows") / F.lit(target * QUANTILE_CUTS)).cast("int"))
-            .drop("_rows")
-        )
-        # cut points become literals: every later use sees the same slices
-        spark = df.sparkSession
-        return cls(keys, order, spark.createDataFrame(cuts.collect(), cuts.schema))
+        return cls(keys, order, min(MAX_SLICES, -(-total // limit)))
 
     @property
     def partition_columns(self) -> tuple[str, ...]:
@@ -135,28 +87,23 @@ class Timeline:
         return Window.partitionBy(*self.partition_columns).orderBy(*self._order())
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Add the slice number of each row where slices are in use."""
+        """Rows with their slice, written once so that every later pass sees the same slices."""
         if self.cuts is None or SLICE in df.columns:
             return df
-        first = self.order[0]
-        position = _position(F.col(first), df.schema[first].dataType)
-        joined = df.join(F.broadcast(self.cuts), _null_safe_match(self.keys, "_hot_"), "left")
-        joined = joined.withColumn("_position", position).withColumn(
-            "_step", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_position")))
+        along = [F.col(c).asc_nulls_first() for c in (*self.keys, *self.order)]
+        ranged = df.repartitionByRange(self.cuts, *along).withColumn(SLICE, F.spark_partition_id().cast("bigint"))
+        ranged = settle(ranged, "slices", above=0)
+        # keys that go on from one slice to the next: the last of one is the first of the next
+        key = F.struct(*self.keys)
+        ends = ranged.groupBy(SLICE).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+        ends = ends.withColumn("_before", F.lag("_last").over(Window.orderBy(SLICE)))  # one row a slice
+        shared = ends.filter(F.col("_first").eqNullSafe(F.col("_before"))).select("_first.*").distinct()
+        shared = settle(shared.select(*[F.col(k).alias("_of_" + k) for k in self.keys]), "shared-keys", above=0)
+        marked = ranged.join(
+            broadcast_if_small(shared.withColumn("_goes_on", F.lit(True))), _null_safe_match(self.keys, "_of_"), "left"
         )
-        low = F.get("_cuts", F.col("_step") - 1)
-        high = F.get("_cuts", F.col("_step"))
-        share = (F.col("_position") - low).cast("double") / (high - low).cast("double")
-        within = F.when(
-            high > low, F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
-        ).otherwise(F.lit(0))
-        number = (
-            F.when(F.col("_parts").isNull(), F.lit(0))
-            .when(F.col("_position").isNull(), F.lit(-1))
-            .otherwise(F.col("_step") * F.col("_parts") + F.coalesce(within, F.lit(0)))
-        )
-        return joined.withColumn(SLICE, number.cast("bigint")).drop(
-            "_cuts", "_parts", "_position", "_step", *["_hot_" + k for k in self.keys]
+        return marked.withColumn(SLICE, F.when(F.col("_goes_on"), F.col(SLICE)).otherwise(F.lit(WHOLE).cast("bigint"))).drop(
+            "_goes_on", *["_of_" + k for k in self.keys]
         )
 
     def detach(self, df: DataFrame) -> DataFrame:
@@ -170,8 +117,6 @@ class Timeline:
         following: Mapping[str, Column] | None = None,
         known: Mapping[str, tuple[Column, Column]] | None = None,
         running: Mapping[str, Column] | None = None,
-        within_slices: bool = False,
-        carry_from: DataFrame | None = None,
     ) -> DataFrame:
         """Add columns computed along the timeline.
 
@@ -180,16 +125,13 @@ class Timeline:
         ``present`` holds; the value itself may be NULL.
         ``running``: sum of the value up to and including this row.
 
-        Rows of one ``order[0]`` value are always in one slice, so what only looks at rows of
-        one instant can stay ``within_slices``. ``carry_from`` gives rows with the same
-        carried values as ``df`` that are cheaper to compute.
+        With slices ``df`` is read twice, so write it first where it is costly.
         """
         previous, following = dict(previous or {}), dict(following or {})
         known, running = dict(known or {}), dict(running or {})
         window = self.window()
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        if self.cuts is None or within_slices:
-            df = self.attach(df)
+        if self.cuts is None:
             return df.withColumns(
                 {
                     **{n: F.lag(v).over(window) for n, v in previous.items()},
@@ -214,7 +156,7 @@ class Timeline:
                 **{n: F.sum(v).over(so_far) for n, v in running.items()},
             }
         )
-        handed = self._handed_over(df if carry_from is None else carry_from, previous, following, known, running)
+        handed = self._handed_over(df, previous, following, known, running)
         joined = local.join(
             broadcast_if_small(settle(handed, "handed-over", above=0)), _null_safe_match(self.partition_columns, "_from_"), "left"
         )
@@ -229,7 +171,7 @@ class Timeline:
         return joined.withColumns(merged).drop(*carried)
 
     def _handed_over(self, df, previous, following, known, running) -> DataFrame:
-        """One row per slice of a hot key: what its neighbours hand to it."""
+        """One row per key and slice of a key in several slices: what comes to it from the others."""
         place = F.struct(*[F.col(c) for c in self.order])
         aggregates = [F.max_by(_wrap(v), place).alias("_tail_" + n) for n, v in previous.items()]
         aggregates += [F.min_by(_wrap(v), place).alias("_head_" + n) for n, v in following.items()]
@@ -237,12 +179,7 @@ class Timeline:
             F.max_by(F.when(p, _wrap(v)), F.when(p, place)).alias("_known_" + n) for n, (v, p) in known.items()
         ]
         aggregates += [F.sum(v).alias("_sum_" + n) for n, v in running.items()]
-        hot = self.cuts.select(*["_hot_" + k for k in self.keys])
-        slices = (
-            df.join(F.broadcast(hot), _null_safe_match(self.keys, "_hot_"), "left_semi")
-            .groupBy(*self.partition_columns)
-            .agg(*aggregates)
-        )
+        slices = df.filter(F.col(SLICE) > WHOLE).groupBy(*self.partition_columns).agg(*aggregates)
         along = Window.partitionBy(*self.keys).orderBy(SLICE)
         before = along.rowsBetween(Window.unboundedPreceding, -1)
         carries = [F.lag("_tail_" + n).over(along).alias("_carry_" + n) for n in previous]
