@@ -12,6 +12,7 @@ from tidemark.functions import casts, wire
 from tidemark.operators import decode, payloads
 from tidemark.operators.changes import state_difference
 from tidemark.operators.quality import offset_faults
+from tidemark.operators import ledger
 from tidemark.operators.ranking import first_n_per_key, newest_rows
 from tidemark.plans import facts
 from tidemark.plans.dimensions import calendar_of
@@ -243,6 +244,37 @@ def offset_gaps(spark, sf_dir):
     return offset_faults(rows)
 
 
+@query(
+    "offset_ledger",
+    """
+WITH rows AS (SELECT event_type AS event_source, event_id % 3 AS partition, event_id // 3 AS o FROM events),
+runs AS (SELECT *, o - row_number() OVER (PARTITION BY event_source, partition ORDER BY o) AS run FROM rows)
+SELECT event_source, partition, min(o) AS "first", max(o) AS "last", count(*) AS stored, count(DISTINCT run) AS ranges,
+       max(o) - min(o) + 1 - count(*) AS missing
+FROM runs GROUP BY 1, 2
+""",
+)
+def offset_ledger(spark, sf_dir):
+    """Batches that overlap, in mixed order, one of them twice; then counts and gaps from the ranges alone."""
+    path = workspace.fresh_folder(spark, "ledger")
+    records = _events(spark, sf_dir).select(
+        F.col("event_type").alias("event_source"), (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.expr("event_id div 3").alias("offset"), "props",
+    )
+    end = records.agg(F.max("offset")).first()[0] or 0
+    place = F.col("offset") / F.lit(max(end, 1))
+    for number, part in ((0, place >= 0.6), (1, place < 0.3), (2, place.between(0.2, 0.7)), (1, place < 0.3)):
+        ledger.append_new(records.filter(part), number, path)
+    ranges = ledger.read_ranges(spark, path, records.schema)
+    lacking = ledger.gaps(ranges).groupBy(*ledger.SOURCE).agg(F.sum("missing").alias("missing"))
+    stored = ledger.read_rows(spark, path, records.schema).groupBy(*ledger.SOURCE).agg(F.count(F.lit(1)).alias("stored"))
+    seen = ranges.groupBy(*ledger.SOURCE).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("ranges")
+    )
+    counted = seen.join(lacking, list(ledger.SOURCE), "left").join(stored, list(ledger.SOURCE))
+    return counted.withColumn("missing", F.coalesce("missing", F.lit(0)))
+
+
 @query(
     "topic_peek",
     """
