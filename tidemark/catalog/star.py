@@ -15,10 +15,12 @@ from tidemark.operators import quality, stock
 from tidemark.operators.asof import asof_join
 from tidemark.operators.payloads import topic_rows
 from tidemark.operators.ranking import latest_per_key
+from tidemark.operators.settle import settle
 from tidemark.operators.timeline import settled
 from tidemark.plans import dimensions, facts, gold, star
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources.tables import side_by_side, write_snapshot
+from tidemark.streaming import lifecycle
 
 
 def _t(spark, sf_dir, *names):
@@ -268,6 +270,31 @@ def order_lifecycle(spark, sf_dir):
     return _shown_orders(facts.order_lifecycle(_order_events(spark, sf_dir))).drop("order_date")
 
 
+@query(
+    "stream_order_lifecycle",
+    f"WITH {_LIFECYCLE} SELECT {_LIFE_COLUMNS}, cast(o_custkey AS varchar) AS user_id, product_id, bronze_partition, bronze_offset FROM life",
+)
+def stream_order_lifecycle(spark, sf_dir):
+    """Stream-stream joins over five files in mixed order, plus corrections."""
+    root = workspace.fresh_folder(spark, "order-stream")
+    events = settle(_order_events(spark, sf_dir), "order-events", above=0)
+    ends = events.agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
+    if ends["a"] is None:
+        return _shown_orders(facts.order_lifecycle(events)).drop("order_date")
+    span = (ends["b"] - ends["a"]) / 5
+    fifth = F.least(F.floor((F.unix_micros("event_time") - F.unix_micros(F.lit(ends["a"]))) / F.lit(max(span.total_seconds() * 1e6, 1.0))), F.lit(4))
+    for part in (1, 0, 3, 2, 4):
+        events.filter(fifth == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    bounds = lifecycle.Bounds(lateness="30 days", before="30 days", after="120 days")
+    queries = lifecycle.start_lifecycle(stream, f"{root}/out", f"{root}/checkpoint", bounds)
+    for started in queries.values():
+        started.awaitTermination()
+    mark = lifecycle.watermark_of([queries[name] for name in lifecycle.MATCHED])
+    streamed, corrections = lifecycle.corrected_lifecycle(spark, f"{root}/out", events, mark, bounds)
+    return _shown_orders(streamed.unionByName(corrections)).drop("order_date")
+
+
 def _with_versions(fact: DataFrame, **dims: DataFrame) -> DataFrame:
     """Replace surrogate keys by the key and start of the version they stand for."""
     for prefix, dim in dims.items():
