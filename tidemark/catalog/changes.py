@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import workspace
@@ -11,11 +13,14 @@ from tidemark.catalog.stand_ins import table
 from tidemark.functions.casts import stamp
 from tidemark.functions.keys import state_fingerprint, surrogate_key
 from tidemark.operators import changes as ops
+from tidemark.operators import snapshots
 from tidemark.operators.asof import asof_join, unmatched_rows
+from tidemark.operators.digests import difference_by_digests
 from tidemark.operators.feeds import combine_feeds, consolidate, forward_fill
 from tidemark.operators.history import build_history, current_versions, detect_changes, range_faults
 from tidemark.operators.kept_history import bucket_of, merge_history, read_history
 from tidemark.operators.ranking import latest_per_key
+from tidemark.operators.settle import settle
 from tidemark.operators.timeline import settled
 from tidemark.schemas import CDC_TABLES
 from tidemark.sources import topics
@@ -197,6 +202,48 @@ def state_diff(spark, sf_dir):
     )
 
 
+_DIFF_SQL = f"""
+WITH {sql.SEGMENTS}, {_STATE.format(name='a', at='1998-01-01')}, {_STATE.format(name='b', at='2000-01-01')}
+SELECT coalesce(a.user_id, b.user_id) AS user_id,
+       CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       a.segment AS old_segment, b.segment AS new_segment
+FROM a FULL JOIN b ON a.user_id = b.user_id
+WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.segment IS DISTINCT FROM b.segment OR a.lifetime_value IS DISTINCT FROM b.lifetime_value
+"""
+
+
+@query("state_diff_digest", _DIFF_SQL)
+def state_diff_digest(spark, sf_dir):
+    """The same difference, from digests of buckets."""
+    states = [settle(_state(spark, sf_dir, at), "state", above=0) for at in ("1998-01-01", "2000-01-01")]
+    difference = difference_by_digests(*states, ["user_id"], ["segment", "lifetime_value"])
+    return difference.select(
+        "user_id", "change", F.col("old.segment").alias("old_segment"), F.col("new.segment").alias("new_segment")
+    )
+
+
+@query(
+    "state_as_of_snapshots",
+    f"""
+WITH {sql.SEGMENTS}, {_STATE.format(name='s', at='1998-01-01')}
+SELECT user_id, segment, lifetime_value, {sql.stamp('change_ts')} AS change_ts FROM s
+""",
+)
+def state_as_of_snapshots(spark, sf_dir):
+    """State at a time from a state kept half a year before it, after late changes dropped others."""
+    path = workspace.fresh_folder(spark, "snapshots")
+    rows = segment_rows(spark, sf_dir)
+    late = F.pmod(F.col("lsn"), F.lit(5)) == 0
+    kept = datetime(1997, 7, 1)
+    snapshots.append_changes(rows.filter(~late), path)
+    for at in (datetime(1996, 1, 1), kept):
+        snapshots.keep_state(spark, path, rows.schema, ["user_id"], at)
+    snapshots.append_changes(rows.filter(late), path)
+    snapshots.keep_state(spark, path, rows.schema, ["user_id"], kept)
+    state = snapshots.state_at(spark, path, rows.schema, ["user_id"], datetime(1998, 1, 1))
+    return state.select("user_id", "segment", "lifetime_value", stamp(F.col("change_ts")).alias("change_ts"))
+
+
 @query(
     "latest_per_key",
     f"""
