@@ -19,7 +19,7 @@ from tidemark.plans.dimensions import calendar_of
 from tidemark.schemas import QUARANTINE
 from tidemark.sources import topics
 from tidemark.sources.tables import write_snapshot
-from tidemark.streaming import ingest, stateful
+from tidemark.streaming import corrections, ingest, lifecycle, stateful
 
 # ---- streams -------------------------------------------------------------------------
 
@@ -125,6 +125,31 @@ def stream_dedup(spark, sf_dir):
     )
 
 
+@query(
+    "stream_window_corrections",
+    """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS rows FROM events GROUP BY 1, 2
+""",
+)
+def stream_window_corrections(spark, sf_dir):
+    """Daily counts by a watermark over five files in mixed order, with retractions for late rows."""
+    root = workspace.fresh_folder(spark, "window-corrections")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    ids = events.agg(F.max("event_id")).first()[0] or 0
+    fifth = F.floor(F.col("event_id") * 5 / F.lit(ids + 1))
+    for part in (1, 0, 3, 2, 4):
+        events.filter(fifth == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    by = ["event_type"]
+    queries = corrections.start_window_counts(stream, "ts", by, f"{root}/out", f"{root}/checkpoint")
+    for started in queries.values():
+        started.awaitTermination()
+    mark = lifecycle.watermark_of([queries["given"]])
+    fixes = corrections.corrections(spark, events, "ts", by, f"{root}/out", mark)
+    counts = corrections.summed(corrections.given_counts(spark, f"{root}/out", events.schema, by), fixes, by)
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "rows")
+
+
 @query(
     "stream_tumbling_counts",
     """
