@@ -38,7 +38,7 @@ from tidemark.llm.tables import spread, stage
 
 # Pairs whose counts every task gets: 12 MB.
 KNOWN_PAIRS = 500_000
-CACHED_UNITS = 300_000
+CACHED_UNITS = 800_000
 # Pairs that a task counts before it gives them out.
 COUNTED_AT_ONCE = 1_000_000
 # Bits of an id within a pair.
