@@ -108,6 +108,48 @@ def test_every_group_keeps_one_row_of_repeated_ids(spark):
     assert groups == [("x", 5), ("y", 2), ("z", 3)]
 
 
+@pytest.mark.parametrize("hot_key", [simhash.HOT_KEY, 1])
+def test_near_dedup_equals_brute_force(spark, hot_key):
+    """Edited copies from slight to strong: what five-word Jaccard links goes, where a text has a neighbour at all."""
+    r = random.Random(11)
+    rows = []
+    for group in range(12):
+        base = [r.choice("abcdefgh") + str(r.randrange(400)) for _ in range(150)]
+        for edits in (0, 0, 1, 2, 3, 6, 20):
+            text = list(base)
+            for at in r.sample(range(150), edits):
+                text[at] = f"new{r.randrange(9_999)}"
+            rows.append((len(rows) * 5 % 84, " ".join(text)))
+    sets = {i: word_sets(t) for i, t in rows}
+    prints = {i: simhash.fingerprint_of(t.encode(), simhash.NEAR_WORDS) for i, t in rows}
+    has = {i for i in prints for j in prints if i != j and (prints[i] ^ prints[j]).bit_count() <= simhash.NEAR_TOLERANCE}
+    if hot_key == 1:
+        has = set(prints)  # keys of several fingerprints go on unseen
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in range(i):
+            if {i, j} <= has and jaccard(sets[i], sets[j]) >= 0.8 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), hot_key=hot_key).collect()
+    assert len({k.doc_id for k in kept}) == len(kept) and 12 < len(kept) < 60
+    assert {k.doc_id for k in kept} == set(root.values())
+
+
+def test_candidates_have_a_neighbour(spark):
+    r = random.Random(5)
+    prints = [r.getrandbits(64) for _ in range(300)]
+    for p in prints[:60]:
+        for bit in r.sample(range(64), r.choice([6, 10, 11])):
+            p ^= 1 << bit
+        prints.append(p)
+    prints = np.array(prints, dtype=np.uint64)
+    near = (np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 10).sum(1) > 1
+    rows = spark.createDataFrame([(int(v),) for v in prints.view(np.int64)], "fp long")
+    found = [x.fp for x in simhash.with_neighbour(rows, 10).collect()]
+    assert sorted(found) == sorted(prints.view(np.int64)[near].tolist())
+
+
 def test_long_text_fingerprint_in_blocks(monkeypatch):
     text = b" ".join(b"w%d" % (i * i % 977) for i in range(5_000))
     whole = simhash.fingerprint_of(text)

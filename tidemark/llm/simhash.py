@@ -13,14 +13,22 @@ form components. Links are found exactly:
   five parts; the cheapest layout wins. More fingerprints make it choose longer keys.
 * **Probe and verify.** Every fingerprint is indexed under its parts, probes all keys within the
   thresholds, and candidates are verified inside the join.
-* **Hot keys.** A key of more than ``HOT_KEY`` fingerprints is not joined, as that is quadratic.
+* **Hot keys.** (components) A key of more than ``HOT_KEY`` fingerprints is not joined, as that is quadratic.
   Two fingerprints within 4 bits share a point within 2 bits of both, and any two that share such
   a point are within 4 bits: rows at hot keys emit those points (2,081 each) and are linked to the
   smallest fingerprint at each point. Exact, linear, and no pairs.
 
+:func:`keep_one` verifies a similarity before a document goes. Texts at Jaccard 0.8 of five-word
+shingles differ in some ten of 64 bits of a five-word fingerprint and in six of a two-word one, which
+still tells unrelated texts apart. So fingerprints of ``NEAR_WORDS`` words choose the texts that have a
+neighbour within ``NEAR_TOLERANCE`` bits (a semi join: no pairs are made, and what stands at a hot key
+goes on unseen). Among those the exact Jaccard of ``VERIFIED_WORDS``-word sets, ``VERIFIED_PERCENT`` or
+more, decides which are one group.
+
 Defined results: NULL or empty text and text without words have fingerprint zero and are linked
 with each other and with fingerprints near zero; fewer words than a shingle make one shingle;
-repeated rows get the same component; rows without id are fingerprinted, but name no component;
+repeated rows get the same component; rows without id are fingerprinted, but name no component
+(:func:`keep_one` keeps them and takes all texts without words as one group, near no other);
 very long texts are hashed whole, in blocks; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -36,6 +44,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.llm import jaccard_fragments
 from tidemark.llm.components import connected
 from tidemark.llm.tables import spread, stage, unused
 
@@ -44,6 +53,12 @@ TOLERANCE = 4
 BITS = 64
 SEED = 42
 
+# Near-duplicate removal: words and bits of the candidates, words and percent of the decision.
+NEAR_WORDS = 2
+NEAR_TOLERANCE = 10
+VERIFIED_WORDS = 5
+VERIFIED_PERCENT = 80
+
 # An index key with more fingerprints is linked through shared points.
 HOT_KEY = 4_096
 
@@ -73,20 +88,24 @@ def fingerprint_of(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, hashed: bool = False) -> DataFrame:
-    """``doc_id``, ``fp``: the fingerprint as a signed long, of every row; ``text_hash`` if asked for."""
+    """``doc_id``, ``fp``: the fingerprint as a signed long, of every row; ``t1``, ``t2`` if asked for."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array([fingerprint_of(t, words) for t in batch["text"]], dtype=np.uint64)
             yield batch.drop(columns="text").assign(fp=values.view(np.int64))
 
-    more = [text_hash().alias("text_hash")] if hashed else []
+    more = text_keys() if hashed else []
     whole = docs.select(F.col("doc_id").cast("long"), *more, F.col("text").cast("string").cast("binary").alias("text"))
-    return spread(whole).mapInPandas(compute, "doc_id long, " + "text_hash long, " * hashed + "fp long")
+    return spread(whole).mapInPandas(compute, "doc_id long, " + "t1 long, t2 long, " * hashed + "fp long")
 
 
-def text_hash() -> Column:
-    return F.xxhash64(F.col("text").cast("string"))
+def text_keys(names: tuple[str, str] = ("t1", "t2")) -> list[Column]:
+    """128 bits that name a text; all texts without words have one name."""
+    text = F.col("text").cast("string")
+    worded = F.coalesce(F.rlike(text, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    values = (F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    return [F.when(worded, v).otherwise(F.lit(0).cast("bigint")).alias(n) for v, n in zip(values, names)]
 
 
 # ---------------------------------------------------------------- layout
@@ -175,7 +194,8 @@ def allocate(rows: int, pairs: np.ndarray, tolerance: int = TOLERANCE) -> list[t
     """Bit groups with their thresholds, of least estimated cost over all numbers of parts."""
     correlation = correlations(rows, pairs)
     best: tuple[float, list[tuple[list[int], int]]] | None = None
-    for parts in range(max(2, tolerance - 2), tolerance + 2):
+    # thresholds go up to two: fewer parts cannot hold the tolerance
+    for parts in range(max(2, -(-(tolerance + 1) // 3)), tolerance + 2):
         groups = group_bits(correlation, parts)
         # program[s]: cheapest thresholds so far that sum to s
         program: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
@@ -233,9 +253,8 @@ def _probes(index: DataFrame, layout: list[tuple[list[int], int]]) -> DataFrame:
     ).select("asks", "part", F.col("key").bitwiseXOR(F.col("_mask")).alias("key"))
 
 
-def links(prints: DataFrame, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
-    """``a``, ``b``: links between distinct fingerprints (staged table with column ``fp``) that
-    connect all that are within the tolerance. Away from hot keys every link is listed."""
+def _sides(prints: DataFrame, tolerance: int, hot_key: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Index and probes without hot keys, and the distinct fingerprints that probe hot keys, if any."""
     rows, pairs = bit_counts(prints)
     layout = allocate(rows, pairs, tolerance)
     index = _index(prints, layout)
@@ -244,17 +263,37 @@ def links(prints: DataFrame, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY)
         index.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_key).select("part", "key"),
         "hot-keys",
     )
-    any_hot = len(hot.limit(1).collect()) > 0
-    if any_hot:
-        crowded = probes.join(hot, ["part", "key"], "left_semi").select(F.col("asks").alias("fp")).distinct()
-        index, probes = (side.join(hot, ["part", "key"], "left_anti") for side in (index, probes))
-    near = (F.col("asks") < F.col("fp")) & (F.bit_count(F.col("asks").bitwiseXOR(F.col("fp"))) <= tolerance)
-    sides = probes.alias("p").join(
-        index.alias("i"),
-        (F.col("p.part") == F.col("i.part")) & (F.col("p.key") == F.col("i.key")) & near,
-    )
-    found = sides.select(F.col("asks").alias("a"), F.col("fp").alias("b"))
-    return found.union(_through_points(crowded, tolerance)) if any_hot else found
+    if not hot.limit(1).collect():
+        return index, probes, None
+    crowded = probes.join(hot, ["part", "key"], "left_semi").select(F.col("asks").alias("fp")).distinct()
+    index, probes = (side.join(hot, ["part", "key"], "left_anti") for side in (index, probes))
+    return index, probes, crowded
+
+
+def _meeting(differ: Column, tolerance: int) -> Column:
+    """Condition of a probe ``p`` and an index row ``i`` that are within the tolerance."""
+    near = differ & (F.bit_count(F.col("p.asks").bitwiseXOR(F.col("i.fp"))) <= tolerance)
+    return (F.col("p.part") == F.col("i.part")) & (F.col("p.key") == F.col("i.key")) & near
+
+
+def links(prints: DataFrame, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
+    """``a``, ``b``: links between distinct fingerprints (staged table with column ``fp``) that
+    connect all that are within the tolerance. Away from hot keys every link is listed."""
+    index, probes, crowded = _sides(prints, tolerance, hot_key)
+    meeting = _meeting(F.col("p.asks") < F.col("i.fp"), tolerance)
+    found = probes.alias("p").join(index.alias("i"), meeting).select(F.col("asks").alias("a"), F.col("fp").alias("b"))
+    return found if crowded is None else found.union(_through_points(crowded, tolerance))
+
+
+def with_neighbour(prints: DataFrame, tolerance: int, hot_key: int = HOT_KEY) -> DataFrame:
+    """``fp`` of the distinct fingerprints (staged table) within the tolerance of another one.
+
+    Makes no pairs. Fingerprints that probe a hot key are returned unseen.
+    """
+    index, probes, crowded = _sides(prints, tolerance, hot_key)
+    meeting = _meeting(F.col("p.asks") != F.col("i.fp"), tolerance)
+    found = probes.alias("p").join(index.alias("i"), meeting, "left_semi").select(F.col("asks").alias("fp"))
+    return (found if crowded is None else found.union(crowded)).distinct()
 
 
 def _through_points(prints: DataFrame, tolerance: int) -> DataFrame:
@@ -273,42 +312,58 @@ def _point_masks(errors: int) -> tuple[int, ...]:
     return tuple(error_masks(range(BITS), errors))
 
 
-def _grouped(prints: DataFrame, first: Column, tolerance: int, hot_key: int) -> DataFrame:
-    """The staged fingerprints with ``_first``: the least of an aggregate over the component."""
-    nodes = stage(prints.groupBy("fp").agg(F.min(first).alias("_first")), "nodes")
+def group_documents(docs: DataFrame, words: int = SHINGLE_WORDS, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` of every row."""
+    prints = stage(fingerprints(docs, words), "fingerprints")
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("_first")), "nodes")
     stars = connected(links(nodes, tolerance, hot_key), "a", "b")
     rooted = nodes.join(stars, nodes["fp"] == stars["node"], "left").select("fp", "_first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("_first").alias("_first"))
-    named = rooted.drop("_first").join(least, "root").select("fp", "_first")
-    return prints.join(named, "fp")
+    least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
+    named = rooted.drop("_first").join(least, "root").select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def group_documents(docs: DataFrame, words: int = SHINGLE_WORDS, tolerance: int = TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` of every row."""
-    prints = stage(fingerprints(docs, words), "fingerprints")
-    return _grouped(prints, F.col("doc_id"), tolerance, hot_key).select("doc_id", "fp", F.col("_first").alias("component_id"))
+# ---------------------------------------------------------------- near-duplicate removal
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of every component: of its smallest id, and there of the smallest text hash.
+def near_groups(docs: DataFrame, prints: DataFrame, tolerance: int = NEAR_TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
+    """One row per group of near-duplicates: ``doc_id``, ``t1``, ``t2`` of its first row.
 
-    Rows of one id with different texts are told apart. Rows without an id are kept: no component
-    can name them.
+    ``prints`` are the staged fingerprints of the rows with an id, with text keys.
     """
-    prints = stage(fingerprints(docs, hashed=True), "fingerprints")
-    own = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
-    groups = stage(_grouped(prints, own, TOLERANCE, HOT_KEY).filter("doc_id is not null"), "groups")
-    later = groups.filter(F.struct("doc_id", "text_hash") != F.col("_first"))
-    later = later.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    mark, later_id = unused(docs, "_text_hash"), unused(docs, "_later_id")
-    later = later.withColumnRenamed("_id", later_id).withColumnRenamed("_hash", unused(docs, "_later_hash"))
-    marked = docs.withColumn(mark, text_hash())
-    kept = marked.join(
-        later, (F.col("doc_id") == F.col(later_id)) & (F.col(mark) == F.col(later.columns[1])), "left_anti"
-    )
-    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    if repeated.limit(1).collect():
-        # a row that is repeated: one of them stays
-        with_id = kept.filter("doc_id is not null").dropDuplicates(["doc_id", mark])
-        kept = with_id.union(kept.filter("doc_id is null"))
-    return kept.drop(mark)
+    first = F.min(F.struct("doc_id", "t1", "t2")).alias("first")
+    texts = prints.groupBy("t1", "t2", "fp").agg(first).select("fp", "first", F.monotonically_increasing_id().alias("tid"))
+    texts = stage(texts, "texts")
+    nodes = stage(texts.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "nodes")
+    near = with_neighbour(nodes.select("fp"), tolerance, hot_key).union(nodes.filter("n > 1").select("fp"))
+    near = stage(near.distinct(), "near")
+    chosen = stage(texts.join(near, "fp", "left_semi").select("tid", "first"), "chosen")
+    wanted = chosen.select("tid", "first.*")
+    if wanted.count() <= jaccard_fragments.SENT_ROWS:
+        wanted = F.broadcast(wanted)
+    whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), *text_keys())
+    content = whole.join(wanted, ["doc_id", "t1", "t2"]).select(F.col("tid").alias("doc_id"), "text")
+    # a row that is repeated with its id
+    content = stage(content.dropDuplicates(["doc_id"]), "near-texts")
+    roots = jaccard_fragments.group_documents(content, VERIFIED_WORDS, VERIFIED_PERCENT)
+    roots = roots.select(F.col("doc_id").alias("tid"), F.col("component_id").alias("root"))
+    least = chosen.join(roots, "tid").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    return stage(texts.join(near, "fp", "left_anti").select("first.*").union(least), "group-firsts")
+
+
+def keep_one(docs: DataFrame, tolerance: int = NEAR_TOLERANCE, hot_key: int = HOT_KEY) -> DataFrame:
+    """One row of every group of near-duplicates: of its smallest id, and there of the smallest text key.
+
+    Rows of one id with different texts are told apart. Rows without an id are kept and belong to no
+    group: no id can name them. Of a row that is repeated with its id one stays.
+    """
+    with_id = docs.filter("doc_id is not null")
+    prints = stage(fingerprints(with_id, NEAR_WORDS, hashed=True), "fingerprints")
+    firsts = near_groups(with_id, prints, tolerance, hot_key)
+    one, two = unused(docs, "_t1"), unused(docs, "_t2")
+    marked = docs.select("*", *text_keys((one, two)))
+    same = (marked["doc_id"] == firsts["doc_id"]) & (marked[one] == firsts["t1"]) & (marked[two] == firsts["t2"])
+    kept = marked.join(firsts, same, "left_semi")
+    if prints.groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect():
+        kept = kept.dropDuplicates(["doc_id", one, two])
+    return kept.union(marked.filter("doc_id is null")).drop(one, two)
