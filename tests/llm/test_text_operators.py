@@ -1,5 +1,7 @@
 import hashlib
 import random
+import time
+import zlib
 from datetime import datetime
 
 import numpy as np
@@ -282,6 +284,45 @@ def test_best_segmentations_equal_all_paths(segmenter, text):
     assert np.allclose(described[2], [s for s, _ in found]) and described[0] == len(found[0][1]) and described[3]
 
 
+def test_words_searched_side_by_side_equal_one_by_one(segmenter):
+    words = ["hello", "x" * 63, "x" * 64, "x" * 65, "é日本", "aaaaaaaaaaaa", "don't", "\ud7ff", "▁▁", "ab" * 20, "\n\n"]
+    marked = [segmenter.marked(w) for w in words]
+    for part, found in zip(marked, segmenter.search_all(marked)):
+        alone = segmenter.search(part)
+        assert [s for s, _ in found] == [s for s, _ in alone]
+        assert len({ids for _, ids in found}) == len(found)
+    for word in ("hello", "aaaaaaaaaaaa", "é日本"):
+        assert np.allclose([s for s, _ in segmenter.find([segmenter.marked(word)])[0]], all_scores(segmenter, word, 5))
+
+
+def test_every_sequence_of_a_text_has_its_score_and_decodes(segmenter):
+    value = {i: score for i, score, _ in segmenter.pieces.values()}
+    value |= dict.fromkeys(segmenter.bytes, segmenter.byte_score)
+    texts = [f"{a} the cats, dogs {b} don't Attion!! {a}" for a, b in zip("abcdeé", "12345▁")]
+    for text, found in zip(texts, segmenter.best_of(texts)):
+        ids = [np.frombuffer(x, dtype="<u4").tolist() for _, x in found]
+        assert [sum(value[i] for i in own) for own in ids] == [s for s, _ in found]
+        assert [segmenter.decode(own) for own in ids] == [text] * 5 and len(set(map(tuple, ids))) == 5
+        assert np.allclose([s for s, _ in segmenter.segment(text)], [s for s, _ in found])
+
+
+@pytest.mark.parametrize("run", ["a", ".", " ", "日", "=-"])
+def test_long_runs_take_linear_time(segmenter, run):
+    segmenter.describe(["warm up"])
+    began = time.process_time()
+    assert segmenter.describe([run * 100_000])[0][3]
+    assert time.process_time() - began < 4
+
+
+def test_digests_of_the_query_are_those_of_the_encoded_ids(odd_docs):
+    rows = odd_docs.filter("doc_id in (1, 2, 5, 9, 14)")
+    encoded = {r.doc_id: r.segmentations for r in segmentation.encode(rows).collect()}
+    for r in segmentation.segment_documents(rows).collect():
+        ids = [np.array(s.ids, dtype="<u4").tobytes() for s in encoded[r.doc_id]]
+        assert [zlib.crc32(x) for x in ids] == list(r.nbest_crc32) and r.nbest_crc32[0] == r.ids_crc32
+        assert [s.score for s in encoded[r.doc_id]] == list(r.scores) and len(ids[0]) // 4 == r.n_pieces
+
+
 def test_round_trip_of_odd_rows(odd_docs, odd_rows, no_docs):
     rows = segmentation.segment_documents(odd_docs).collect()
     assert len(rows) == len(odd_rows) and all(r.round_trip for r in rows)
