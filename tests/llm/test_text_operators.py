@@ -306,6 +306,19 @@ def test_every_sequence_of_a_text_has_its_score_and_decodes(segmenter):
         assert np.allclose([s for s, _ in segmenter.segment(text)], [s for s, _ in found])
 
 
+def test_words_forgotten_and_kept_change_nothing(monkeypatch):
+    r = random.Random(5)
+    common = ["the", "cats", "don't", "é日", "Attion!!"]
+    batches = [[" ".join(r.choices([*common, "w" + str(r.randint(0, 999))], k=30)) for _ in range(20)] for _ in range(6)]
+    whole = segmentation.Segmenter(segmentation.default_pieces())
+    expected = [whole.describe(b) for b in batches]
+    monkeypatch.setattr(segmentation, "CACHED_WORDS", 12)
+    small = segmentation.Segmenter(segmentation.default_pieces())
+    for batch, rows in zip(batches, expected):
+        assert small.describe(batch) == rows
+        assert 0 < len(small._index) <= 12 and list(small._index.values()) == list(range(len(small._ids)))
+
+
 @pytest.mark.parametrize("run", ["a", ".", " ", "日", "=-"])
 def test_long_runs_take_linear_time(segmenter, run):
     segmenter.describe(["warm up"])

@@ -40,7 +40,7 @@ SPACE = "▁"
 BEST = 4
 CACHED_WORDS = 600_000
 # Words searched side by side, and the longest of them; longer ones are searched part by part.
-BLOCK_WORDS = 4096
+BLOCK_WORDS = 1024
 BLOCK_LENGTH = 64
 # Steps of a score.
 STEPS = 1 << 20
@@ -370,6 +370,17 @@ class Segmenter:
         self._scores = np.zeros(0)
         self._further = np.zeros((0, self.best - 1))
 
+    def _keep(self, met: np.ndarray) -> None:
+        """Keep the words that were met more than once; if they are many, half a cache of the most met."""
+        kept = np.flatnonzero(met > 1)
+        if len(kept) > CACHED_WORDS // 2:
+            kept = np.sort(kept[np.argsort(-met[kept], kind="stable")[: CACHED_WORDS // 2]])
+        # the index is in the order of its numbers
+        words = list(self._index)
+        self._index = {words[n]: i for i, n in enumerate(kept.tolist())}
+        self._ids = [self._ids[n] for n in kept.tolist()]
+        self._scores, self._further = self._scores[kept], self._further[kept]
+
     def _learn(self, words: list[str]) -> None:
         """Best segmentation of words and what further ones lose, in the order of their numbers."""
         marked = [self.marked(w) for w in words]
@@ -389,7 +400,7 @@ class Segmenter:
 
     def best_of(self, texts: list[str]) -> list[list[Found]]:
         """Best segmentations of every text."""
-        index, numbered, whole, new = self._index, {}, {}, []
+        index, known, numbered, whole, new = self._index, len(self._ids), {}, {}, []
         for i, text in enumerate(texts):
             # doubled spaces may share a piece across words
             if not text or "  " in text or text[0] == " " or text[-1] == " ":
@@ -432,7 +443,9 @@ class Segmenter:
                     done = int(ends[k])
                 whole[i].append((best - loss, b"".join([*runs, ids[done:]])))
         if len(index) > CACHED_WORDS:
-            self._clear()
+            met = np.bincount(np.concatenate(list(numbered.values())), minlength=len(index))
+            met[:known] += 1
+            self._keep(met)
         return [whole[i] for i in range(len(texts))]
 
     def describe(self, texts: list[str]) -> list[tuple[int, int, list[float], bool, list[int]]]:
