@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from tidemark.llm import html_template as ht
 from tidemark.llm import language, packing, quality_rules, queries, simhash
+from tidemark.llm.tables import in_fold
 
 SF = "/root/testdata/sf0.001"
 
@@ -138,6 +139,22 @@ def test_op6(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_rows_without_id_are_in_no_held_out_fold(spark, odd_docs, odd_rows, tmp_path):
+    ids = [i for i, _, _ in odd_rows]
+    for modulus, remainder in ((3, 1), (5, 0), (10, 0)):
+        folds = odd_docs.select("doc_id", in_fold("doc_id", modulus, remainder).alias("held")).collect()
+        assert sorted((str(r.doc_id), r.held) for r in folds) == sorted(
+            (str(i), i is not None and zlib.crc32(str(i).encode()) % modulus == remainder) for i in ids
+        )
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.QUERIES["op6_language_id"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(ids) and all(r.held_out is not None for r in rows)
+    rows = queries.QUERIES["op8_gru_lm"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(ids) and all(r.held_out is not None for r in rows)
+    learned = [t or "" for i, t, _ in odd_rows if i is None or zlib.crc32(str(i).encode()) % 10]
+    assert {r.train_tokens for r in rows} == {sum(len(re.findall(r"[^\x20\x09-\x0D]+", t)) + 1 for t in learned)}
+
+
 def test_op7(spark):
     rows = run(spark, "op7_nbest_segmentation")
     assert len(rows) == len(table(spark, "documents")) and all(r.round_trip for r in rows)

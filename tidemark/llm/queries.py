@@ -11,7 +11,7 @@ from tidemark.llm import (
     alignment, gru_lm, html_template, jaccard_fragments, language, minhash, packing, quality_rules, quality_trees, segmentation,
     simhash, spelling, url_lists,
 )
-from tidemark.llm.tables import crc32_remainder, read, ship_code
+from tidemark.llm.tables import in_fold, read, ship_code
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -104,7 +104,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; the fold of remainder 1 is held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", crc32_remainder("doc_id", 3) == 1)
+    docs = docs.withColumn("held_out", in_fold("doc_id", 3, 1))
     filters = language.learn(docs.filter(~F.col("held_out")))
     return language.identify(docs.select("doc_id", "text", "held_out"), filters).drop("text")
 
@@ -119,7 +119,7 @@ def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram base and recurrent model's log10 probability of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = crc32_remainder("doc_id", 10) == 0
+    held_out = in_fold("doc_id", 10, 0)
     vocabulary, model, counts = gru_lm.learn(docs.filter(~held_out))
     return gru_lm.score(docs, vocabulary, model, counts).withColumn("held_out", held_out)
 
@@ -127,7 +127,7 @@ def op8_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_quality_trees")
 def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; the fold of remainder 0 is held out."""
-    held_out = crc32_remainder("doc_id", 5) == 0
+    held_out = in_fold("doc_id", 5, 0)
     rows = quality_trees.described(read(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
     return quality_trees.classify(rows, quality_trees.learn(rows, labels)).withColumn("held_out", held_out)

@@ -68,10 +68,13 @@ def least_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     return near.orderBy(hash_place(key), *near.columns).limit(most)
 
 
-def crc32_remainder(column: Column | str, modulus: int) -> Column:
-    """crc32 of the id's decimal text, as the folds of the contracts are cut."""
+def in_fold(column: Column | str, modulus: int, remainder: int) -> Column:
+    """Whether crc32 of the id's decimal text leaves the remainder, as the folds of the contracts are cut.
+
+    A row without id is in no such fold.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)
+    return F.coalesce(F.crc32(column.cast("string").cast("binary")) % F.lit(modulus) == F.lit(remainder), F.lit(False))
 
 
 def lower_ascii(column: Column) -> Column:
