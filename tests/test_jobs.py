@@ -1,11 +1,13 @@
 """Jobs from the command line arguments down, without a broker."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import bronze, change
 from tidemark import jobs, workspace
 from tidemark.operators.changes import CHANGE_ORDER, decode_changes
 from tidemark.schemas import BRONZE, CDC_TABLES
+from tidemark.sources import tables
 from tidemark.sources.tables import drop_schema, ensure_table, publish, write_snapshot
 from tidemark.streaming import ingest
 from tidemark.streaming.upserts import compact_upserts, current_rows, upsert_batch
@@ -108,6 +110,61 @@ def test_upserts_append_compact_and_repeat_safely(spark, tmp_path):
     assert prices(before=1) == {**expected, "p3": 3.0}
 
 
+def test_names_change_together(spark, tmp_path, monkeypatch):
+    def run(name, lows):
+        return {
+            t: (f"{tmp_path}/{name}/{t}", tables.write_snapshot(spark.range(low, low + 2).withColumn(f"c_{name}", F.lit(low)), f"{tmp_path}/{name}/{t}").schema)
+            for t, low in lows.items()
+        }
+
+    def shown():
+        return {t: sorted(r.id for r in spark.table(f"together.{t}").collect()) for t in ("a", "b")}
+
+    drop_schema(spark, "together")
+    one, two = run("one", {"a": 0, "b": 10}), run("two", {"a": 20, "b": 30})
+    three, four = run("three", {"a": 40, "b": 50}), run("four", {"a": 60})
+    tables.publish_together(spark, "together", one)
+    assert shown() == {"a": [0, 1], "b": [10, 11]} and spark.table("together.a").columns == ["id", "c_one"]
+    seen = []
+
+    def stop(*args):
+        seen.append(shown())
+        raise RuntimeError("stop")
+
+    # stopped before the switch, everything is old; stopped after it, everything is new
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_list_runs", stop)
+        with pytest.raises(RuntimeError):
+            tables.publish_together(spark, "together", two)
+    assert seen == [{"a": [0, 1], "b": [10, 11]}] == [shown()]
+    with monkeypatch.context() as m:
+        m.setattr(tables, "publish", stop)
+        with pytest.raises(RuntimeError):
+            tables.publish_together(spark, "together", three)
+    assert shown() == {"a": [40, 41], "b": [50, 51]}
+    # a name that the next call leaves out stays as the stopped one left it
+    tables.publish_together(spark, "together", four)
+    assert shown() == {"a": [60, 61], "b": [50, 51]}
+    tables.publish_together(spark, "together", two)
+    assert shown() == {"a": [20, 21], "b": [30, 31]} and spark.table("together.b").columns == ["id", "c_two"]
+    drop_schema(spark, "together")
+
+
+def test_external_tables_and_views_are_taken_over(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/old")
+    drop_schema(spark, "taken")
+    ensure_table(spark, "taken.t", spark.range(1).schema, (), location=f"{tmp_path}/old")
+    new = write_snapshot(spark.range(5, 7), f"{tmp_path}/new")
+    tables.publish_together(spark, "taken", {"t": (f"{tmp_path}/new", new.schema)})
+    assert sorted(r.id for r in spark.table("taken.t").collect()) == [5, 6]
+    assert spark.read.parquet(f"{tmp_path}/old").count() == 3
+    ensure_table(spark, "taken.managed", new.schema, ())
+    with pytest.raises(ValueError, match="managed"):
+        tables.publish_together(spark, "taken", {"t": (f"{tmp_path}/old", new.schema), "managed": (f"{tmp_path}/new", new.schema)})
+    assert sorted(r.id for r in spark.table("taken.t").collect()) == [5, 6]
+    drop_schema(spark, "taken")
+
+
 def test_publishing_shows_exactly_the_last_run(spark, tmp_path):
     drop_schema(spark, "shown")
     columns = "day int, n long"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -115,12 +116,78 @@ def publish(spark: SparkSession, table: str, path: str, columns: T.StructType) -
     """
     if "." in table:
         ensure_schema(spark, table.rsplit(".", 1)[0])
-    if spark.catalog.tableExists(table) and (kind := spark.catalog.getTable(table).tableType) != "VIEW":
-        if kind != "EXTERNAL":
-            raise ValueError(f"{table} is a managed table: a view of that name would cost its files")
+    _refuse_managed(spark, table)
+    if spark.catalog.tableExists(table) and not _is_view(spark, table):
         spark.sql(f"DROP TABLE {table}")
-    fields = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {fields} FROM parquet.`{path}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {_typed(columns)} FROM parquet.`{path}`")
+
+
+def publish_together(spark: SparkSession, schema: str, finished: Mapping[str, tuple[str, T.StructType]]) -> None:
+    """Publish the finished paths of several names of a schema so that all of them change in one catalog step.
+
+    Each name first becomes a view over its old rows and its new ones, of which a one-row view,
+    ``<schema>.switched_runs``, lets through one side: it lists the calls that are past their switch.
+    Replacing it switches all names. Then each name becomes a plain view of its new path and the call
+    leaves the list. A failure before the switch leaves all names old, one after it leaves all new; later
+    calls take over from either, for any choice of names. Old rows have the new columns meanwhile, NULL
+    where they lack one. An external table becomes a view of its folder before the switch. One call at a
+    time may publish in a schema.
+    """
+    ensure_schema(spark, schema)
+    pointer, run = f"{schema}.switched_runs", uuid.uuid4().hex
+    names = {name: f"{schema}.{name}" for name in finished}
+    for table in (*names.values(), pointer):
+        _refuse_managed(spark, table)
+    if spark.catalog.tableExists(pointer):
+        switched = list(spark.table(pointer).first()[0])
+    else:
+        _list_runs(spark, pointer, switched := [])
+    is_new = f"(SELECT array_contains(runs, '{run}') FROM {pointer})"
+    for name, (path, columns) in finished.items():
+        table = names[name]
+        view = f"SELECT {_typed(columns)} FROM parquet.`{path}` WHERE {is_new}"
+        if spark.catalog.tableExists(table):
+            # what the name shows now, as a query of its own: a view cannot read itself
+            if _is_view(spark, table):
+                shown = spark.sql(f"SHOW CREATE TABLE {table}").first()[0].split("\nAS ", 1)[1]
+            else:
+                shown = f"SELECT * FROM parquet.`{_location(spark, table)}`"
+            old = {c.lower() for c in spark.table(table).columns}
+            kept = ", ".join(
+                f"CAST({f'`{f.name}`' if f.name.lower() in old else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in columns.fields
+            )
+            view = f"SELECT {kept} FROM ({shown}) WHERE NOT {is_new} UNION ALL {view}"
+            if not _is_view(spark, table):
+                spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"CREATE OR REPLACE VIEW {table} AS {view}")
+    _list_runs(spark, pointer, [*switched, run])
+    for name, (path, columns) in finished.items():
+        publish(spark, names[name], path, columns)
+    _list_runs(spark, pointer, switched)
+
+
+def _list_runs(spark: SparkSession, pointer: str, runs: Sequence[str]) -> None:
+    listed = ", ".join(f"'{run}'" for run in runs)
+    spark.sql(f"CREATE OR REPLACE VIEW {pointer} AS SELECT CAST(array({listed}) AS array<string>) AS runs")
+
+
+def _typed(columns: T.StructType) -> str:
+    return ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns.fields)
+
+
+def _is_view(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "VIEW"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _refuse_managed(spark: SparkSession, table: str) -> None:
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType not in ("VIEW", "EXTERNAL"):
+        raise ValueError(f"{table} is a managed table: a view of that name would cost its files")
 
 
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
@@ -130,7 +197,7 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    view = spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
+    view = spark.catalog.tableExists(table) and _is_view(spark, table)
     spark.sql(f"DROP {'VIEW' if view else 'TABLE'} IF EXISTS {table}")
 
 
