@@ -359,9 +359,9 @@ def orphan_fact_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("priority")
     )
+    lines = _shipped_lines(spark, sf_dir).select("l_orderkey", "l_shipdate", "user_id")
     joined = asof_join(
-        _shipped_lines(spark, sf_dir), segment_history(spark, sf_dir), {"user_id": "user_id"}, "l_shipdate",
-        {"valid_from": "version_from"},
+        lines, segment_history(spark, sf_dir), {"user_id": "user_id"}, "l_shipdate", {"valid_from": "version_from"}
     )
     return joined.join(orders, "l_orderkey").groupBy("priority").agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(F.col("version_from").isNull()).alias("orphans")
