@@ -99,7 +99,7 @@ def scd2_with_deletes(spark, sf_dir):
 def scd2_incremental(spark, sf_dir):
     """The history again, merged from batches: later changes first, then late ones, then one bucket's once more."""
     path = workspace.fresh_folder(spark, "kept-history")
-    rows = segment_rows(spark, sf_dir)
+    rows = settle(segment_rows(spark, sf_dir), "segment-rows")  # four batches read them
     by = (["user_id"], ops.CHANGE_ORDER, ["segment"], "is_delete", 16)
     early = F.col("change_ts") < F.lit("1998-06-01").cast("timestamp")
     third = F.pmod(F.col("lsn"), F.lit(3))
