@@ -31,6 +31,9 @@ from pyspark.sql.functions import pandas_udf
 from tidemark.llm.tables import hash_place, hash_share, spread, unused
 
 UNDETERMINED = "und"
+
+# The pipeline keeps documents whose language has this share of their known n-grams.
+MAJORITY = 0.5
 SIZES = (3, 4, 5)
 SAMPLE_DOCS = 3_000
 MOST_GRAMS = 400_000
@@ -205,6 +208,10 @@ def identify(docs: DataFrame, filters: Filters, lang: str = "lang_pred", score:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Documents in a language that the training rows know, with their own columns."""
+    """Documents in one language that the training rows know, with their own columns.
+
+    A document goes if no language has ``MAJORITY`` of its known n-grams (mixtures, short texts of license lines,
+    keys and numbers), or none is known; without letters the score is 0.
+    """
     filters = learn(docs)
-    return spread(docs).filter(_predictor(docs.sparkSession, filters)["lang"] != UNDETERMINED)
+    return spread(docs).filter(_predictor(docs.sparkSession, filters)["score"] >= MAJORITY)
