@@ -10,6 +10,7 @@ from tidemark.catalog.stand_ins import table
 from tidemark.functions.casts import exact_sum, stamp
 from tidemark.operators import changes as ops
 from tidemark.operators import upkeep
+from tidemark.operators.sizing import ONE_TASK_BYTES, input_bytes
 from tidemark.plans import analytics
 from tidemark.sources import files
 from tidemark.sources.tables import append_rows, publish, read_table, register_views, with_month, write_snapshot
@@ -257,9 +258,10 @@ def compact_binpack(spark, sf_dir):
     """Small files are merged in place; files above 90 % of the target keep their names."""
     path = workspace.fresh_folder(spark, "binpack")
     orders = table(spark, sf_dir, "orders")
-    orders.repartition(1).write.partitionBy("o_orderstatus").parquet(path)
+    tasks = max(1, -(-input_bytes(orders) // ONE_TASK_BYTES))  # a file of each status by each of them
+    orders.repartition(tasks).write.partitionBy("o_orderstatus").parquet(path)
     large = files.list_files(spark, path).agg(F.min("bytes")).first()[0]
-    orders.filter("o_orderkey % 10 = 0").repartition(16).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    orders.filter("o_orderkey % 10 = 0").repartition(16 * tasks).write.mode("append").partitionBy("o_orderstatus").parquet(path)
     before = files.list_files(spark, path).collect()
     stored = spark.read.schema(stored_schema_of(orders, "o_orderstatus")).parquet(path)
     upkeep.compact_binpack(spark, path, stored.schema, ["o_orderstatus"], target_bytes=large)
