@@ -5,6 +5,7 @@ import zlib
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,6 +476,38 @@ def test_language_model_of_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypa
     assert gru_lm.score(no_docs, v, model, counts).count() == 0
 
 
+def test_words_of_a_batch_equal_words_of_each_text():
+    texts = [b" The cat,\tthe\x0bCAT\x0c", None, b"", b" \r\n", "\u00c4B\u00a0c \u2003d\x85e".encode(), b"\xff(A \xc3 a\x1cb\x00 ...", b"the running;"]
+    v = gru_lm.Vocabulary({b"the": 0, b"cat,": 1}, np.array([5, 3]), 2, 10, 4, 1, {b"ing": 0, b"": 1, b"cat": 2}, np.zeros(4))
+    for array in (pa.array(texts, pa.binary()), pa.array([b"x", *texts], pa.binary())[1:]):
+        counts, places, words = gru_lm.batch_words(array)
+        each = [gru_lm.words_of(t) for t in texts]
+        flat = [w for found in each for w in found]
+        assert counts.tolist() == [len(found) for found in each] and [words[i].as_py() for i in places.tolist()] == flat
+        at, tails = v.lookup()(words)
+        assert at[places].tolist() == v.places(flat).tolist() and tails[places].tolist() == [v.tail(w) for w in flat]
+        documents = list(gru_lm.batch_targets(v, at[places], tails[places], counts))
+        for found, document in zip(each, documents, strict=True):
+            alone = gru_lm.targets(v, v.places(found), np.array([v.tail(w) for w in found], dtype=np.int64))
+            assert all(np.array_equal(a, b) for a, b in zip(alone, document))
+
+
+def test_gradients_of_windows_add_up_over_their_live_tokens():
+    v = gru_lm.Vocabulary({b"a": 0, b"b": 1}, np.array([5, 3]), 2, 10, 4, 2, {b"ing": 0}, np.zeros(2))
+    model = gru_lm.Model.fresh(v)
+    model.class_bias[1] = 200  # its exponential is not finite in single precision
+    r = np.random.default_rng(0)
+    documents = [gru_lm.targets(v, r.integers(-1, 2, n), r.integers(0, 2, n)) for n in (3, 40, 0, 17)]
+    sums = gru_lm.Model(*(np.zeros_like(p) for p in model.parts()))
+    expected = [np.zeros_like(p) for p in model.parts()]
+    for busy, *window in gru_lm.windows(iter(documents), 3):
+        h = np.zeros((len(busy), gru_lm.STATE), dtype=np.float32)
+        mean, after = gru_lm._window(model, h, *window)
+        assert np.array_equal(after, gru_lm._window(model, h, *window, sums)[1])
+        expected = [e + g * window[-1].sum() for e, g in zip(expected, mean)]
+    assert all(np.isfinite(g).all() and np.allclose(g, e, atol=1e-4) for g, e in zip(sums.parts(), expected))
+
+
 def test_windows_hold_whole_documents_with_one_end_each():
     lengths = (1, 40, 3, 700, 16, 2)
     docs = [tuple(np.arange(n) + 1_000 * i + k for k in range(3)) for i, n in enumerate(lengths)]

@@ -29,13 +29,14 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import ctypes
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,7 +63,11 @@ BLOCK = 8_192
 SEED = 7
 
 COUNTED_AT_ONCE = 500_000
+# Bytes of text whose documents advance side by side in scoring, and states whose outputs are made at once.
+SCORED_AT_ONCE = 8 << 20
 STATES_AT_ONCE = 2_048
+# Logits within this of zero have exponentials that neither overflow nor vanish in single precision.
+SAFE = 40
 
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MARKS = b".,;:!?|()\"'*#$%&"
@@ -77,6 +82,12 @@ def ending_of(word: bytes) -> bytes:
     return word.rstrip(_MARKS)[-3:]
 
 
+def endings_of(words: pa.Array) -> pa.Array:
+    """``ending_of`` of binary words."""
+    stems = pc.ascii_rtrim(words.view(pa.string()), characters=_MARKS.decode())
+    return pc.binary_slice(stems.view(pa.binary()), -3)
+
+
 def _one_thread() -> None:
     """Products of small matrices in the task's own thread; others would only wait beside it."""
     for path in (Path(np.__file__).parents[1] / "numpy.libs").glob("*openblas*"):
@@ -93,20 +104,43 @@ def _texts(docs: DataFrame, *others: str) -> DataFrame:
     )
 
 
+def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of a batch of texts: how many each has, and each word's place among the distinct ones returned.
+
+    The words are those of ``words_of``; Arrow's kernels used here work on bytes.
+    """
+    texts = texts.cast(pa.large_binary()).fill_null(b"").view(pa.large_string())
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, offsets = cut.flatten(), cut.offsets.to_numpy()
+    whole = pc.greater(pc.binary_length(words), 0)  # borders of a text that begins or ends with white space
+    counts = np.diff(np.append(0, np.cumsum(whole.to_numpy(zero_copy_only=False)))[offsets - offsets[0]])
+    coded = words.filter(whole).dictionary_encode()
+    return counts, coded.indices.to_numpy(), coded.dictionary.view(pa.large_binary()).cast(pa.binary())
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """``word``, ``n`` over all given documents; words are counted per task before the shuffle."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[bytes] = Counter()
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return found.rename_columns({"n_sum": "n"}).select(["word", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rows = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                seen.update(words_of(text))
-                if len(seen) > COUNTED_AT_ONCE:
-                    yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
-                    seen = Counter()
-        yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
-
-    counted = spread(_texts(training)).select("text").mapInPandas(count, "word binary, n long")
+            _, places, words = batch_words(batch["text"])
+            parts.append(pa.table({"word": words, "n": np.bincount(places, minlength=len(words))}))
+            rows += len(words)
+            if rows > COUNTED_AT_ONCE:
+                parts = [summed(parts)]
+                rows = len(parts[0])
+                if 2 * rows > COUNTED_AT_ONCE:
+                    yield from parts[0].to_batches()
+                    parts, rows = [], 0
+        if parts:
+            yield from summed(parts).to_batches()
+
+    counted = spread(_texts(training)).select("text").mapInArrow(count, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -145,9 +179,15 @@ class Vocabulary:
         find = self.place.get
         return np.array([find(w, -1) for w in words], dtype=np.int64)
 
-    def tails(self) -> np.ndarray:
-        """Ending class of every known word."""
-        return np.array([self.tail(w) for w in self.place], dtype=np.int64)
+    def lookup(self) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+        """What gives the rank (-1: rare) and the ending class of each word of a binary array."""
+        known, ends = pa.array(list(self.place), pa.binary()), pa.array(list(self.endings), pa.binary())
+
+        def place(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            at, tail = pc.index_in(words, value_set=known), pc.index_in(endings_of(words), value_set=ends)
+            return at.fill_null(-1).to_numpy(), tail.fill_null(len(ends)).to_numpy()
+
+        return place
 
     @property
     def base_log(self) -> float:
@@ -169,11 +209,11 @@ def learn_vocabulary(counts: DataFrame, documents: int, known: int = KNOWN_WORDS
     n = top["n"].to_numpy(dtype=np.int64)
     head = min(head, len(words))
 
-    def endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"ending": [ending_of(w) for w in batch["word"]], "n": batch["n"], "word": batch["word"]})
+            yield pa.RecordBatch.from_pydict({"ending": endings_of(batch["word"].cast(pa.binary())), "n": batch["n"]})
 
-    ended = counts.mapInPandas(endings, "ending binary, n long, word binary")
+    ended = counts.select("word", "n").mapInArrow(endings, "ending binary, n long")
     by_ending = ended.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types"))
     chosen = {bytes(r["ending"]): (r["n"], r["types"]) for r in by_ending.orderBy(F.desc("n"), "ending").limit(ENDINGS).collect()}
     index = {e: i for i, e in enumerate(chosen)}
@@ -226,43 +266,102 @@ class Model:
 
     def step(self, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Next state, update gate, reset gate, candidate."""
-        x = self.inputs[token]
-        gates = _sigmoid(x[:, : 2 * STATE] + h @ self.recur)
+        return self.advance(h, self.inputs.take(token, axis=0))
+
+    def advance(self, h: np.ndarray, x: np.ndarray, gates=None, new=None, following=None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The step with the tokens' rows of ``inputs`` at hand; the others are arrays for what it makes."""
+        gates = np.matmul(h, self.recur, out=gates)
+        gates += x[:, : 2 * STATE]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         update, reset = gates[:, :STATE], gates[:, STATE:]
-        new = np.tanh(x[:, 2 * STATE :] + (reset * h) @ self.candidate)
-        return h + update * (new - h), update, reset, new
+        new = np.matmul(reset * h, self.candidate, out=new)
+        new += x[:, 2 * STATE :]
+        np.tanh(new, out=new)
+        following = np.subtract(new, h, out=following)
+        following *= update
+        following += h
+        return following, update, reset, new
 
     def log_likelihood(self, h: np.ndarray, wanted: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """Natural log of class and head-word probabilities. ``slot``: place in a head class or -1."""
-        logits = h @ self.classes + self.class_bias
-        result = logits[np.arange(len(h)), wanted] - _log_sum(logits)
-        order = np.flatnonzero(slot >= 0)
-        order = order[np.argsort(wanted[order], kind="stable")]
-        cuts = np.flatnonzero(np.diff(wanted[order])) + 1
-        for rows in np.split(order, cuts) if len(order) else []:
-            c = wanted[rows[0]] - 1
-            inner = h[rows] @ self.inside[c].T + self.inside_bias[c]
-            result[rows] += inner[np.arange(len(rows)), slot[rows]] - _log_sum(inner)
+        logits = h @ self.classes
+        logits += self.class_bias
+        result = _log_shares(logits, wanted)
+        rows, cuts = by_class(wanted, slot)
+        if len(rows):
+            result[rows] += _log_shares(self.inner_logits(h.take(rows, axis=0), cuts), slot[rows])
         return result
 
+    def inner_logits(self, states: np.ndarray, cuts: list[tuple[int, int, int]]) -> np.ndarray:
+        """Logits of the words of each row's head class; rows stand by class, as ``by_class`` orders them."""
+        logits = np.empty((len(states), CLASS_WORDS), dtype=np.result_type(states, self.inside))
+        for c, begin, end in cuts:
+            np.matmul(states[begin:end], self.inside[c].T, out=logits[begin:end])
+        logits += np.repeat(self.inside_bias[[c for c, _, _ in cuts]], [end - begin for _, begin, end in cuts], axis=0)
+        return logits
+
+
+def _sorting(values: np.ndarray) -> np.ndarray:
+    """A stable order; small numbers are sorted by digits."""
+    narrow = len(values) and values.max() < 1 << 16
+    return np.argsort(values.astype(np.uint16) if narrow else values, kind="stable")
+
+
+def by_class(wanted: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Rows of head words ordered by class, and (head class, begin, end) of each class among them."""
+    rows = np.flatnonzero(slot >= 0)
+    found = wanted[rows]
+    order = _sorting(found)
+    rows, found = rows[order], found[order]
+    ends = np.append(np.flatnonzero(np.diff(found)) + 1, len(found)).tolist()
+    return rows, [(int(found[begin]) - 1, begin, end) for begin, end in zip([0, *ends], ends) if end > begin]
+
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _steady(logits: np.ndarray) -> np.ndarray:
+    """In place, rows of logits shifted where their exponentials might not be finite."""
+    if not (logits.min() > -SAFE and logits.max() < SAFE):
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    most = x.max(axis=1)
-    return most + np.log(np.exp(x - most[:, None]).sum(axis=1))
+def _exponentials(logits: np.ndarray) -> np.ndarray:
+    """In place; returns the sums of the rows."""
+    np.exp(logits, out=logits)
+    return logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+
+
+def _log_shares(logits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax at one place of each row; the logits are used up."""
+    found = _steady(logits)[np.arange(len(logits)), place]
+    found -= np.log(_exponentials(logits))
+    return found
 
 
 def targets(v: Vocabulary, places: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Input, class and slot of each token from its rank (-1: rare) and ending class; the end follows."""
+    return next(iter(batch_targets(v, places, tails, np.array([len(places)]))))
+
+
+def batch_targets(
+    v: Vocabulary, places: np.ndarray, tails: np.ndarray, counts: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``targets`` of documents whose words stand one behind the other, ``counts`` words each."""
     head = (places >= 0) & (places < v.head)
-    token = np.where(head, places, v.head + tails)
-    wanted = np.where(head, 1 + places // CLASS_WORDS, 1 + v.head_classes + tails)
-    slot = np.where(head, places % CLASS_WORDS, -1)
-    start = v.inputs - 1
-    return np.concatenate(([start], token)), np.append(wanted, 0), np.append(slot, -1)
+    at = np.arange(len(places)) + np.repeat(np.arange(len(counts)), counts)
+    ends = np.cumsum(counts + 1) - 1
+    begins = ends - counts
+    token, wanted, slot = (np.empty(len(places) + len(counts), dtype=np.int32) for _ in range(3))
+    token[at + 1] = np.where(head, places, v.head + tails)
+    token[begins] = v.inputs - 1
+    wanted[at] = np.where(head, 1 + places // CLASS_WORDS, 1 + v.head_classes + tails)
+    wanted[ends] = 0
+    slot[at] = np.where(head, places % CLASS_WORDS, -1)
+    slot[ends] = -1
+    for begin, end in zip(begins.tolist(), (ends + 1).tolist()):
+        yield token[begin:end], wanted[begin:end], slot[begin:end]
 
 
 @dataclass
@@ -282,9 +381,14 @@ class Progress:
 
     def model(self, v: Vocabulary) -> Model:
         """Views of the weights."""
-        shapes = [p.shape for p in Model.fresh(v).parts()]
-        cuts = np.cumsum([int(np.prod(shape)) for shape in shapes])[:-1]
-        return Model(*(part.reshape(shape) for part, shape in zip(np.split(self.weights, cuts), shapes)))
+        return _views(self.weights, v)
+
+
+def _views(values: np.ndarray, v: Vocabulary) -> Model:
+    """Parameters, or what belongs to each, as parts of one flat array."""
+    shapes = [p.shape for p in Model.fresh(v).parts()]
+    cuts = np.cumsum([int(np.prod(shape)) for shape in shapes])[:-1]
+    return Model(*(part.reshape(shape) for part, shape in zip(np.split(values, cuts), shapes)))
 
 
 def _flat(parts: list[np.ndarray]) -> np.ndarray:
@@ -297,25 +401,33 @@ def windows(documents: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], stre
     A document stands in one stream from its start to its end; a stream whose document ends takes
     the next one.
     """
-    held = [np.empty((4, 0), dtype=np.int64)] * streams
+    held = [np.empty((4, 0), dtype=np.int32)] * streams
+    places = [0] * streams
+    more = True
     while True:
         for i, rows in enumerate(held):
-            found, n = [rows], rows.shape[1]
+            n = rows.shape[1] - places[i]
+            if n >= WINDOW or not more:
+                continue
+            found = [rows[:, places[i] :]]
             while n < WINDOW and (document := next(documents, None)) is not None:
-                found.append(np.stack((*document, np.arange(len(document[0])) == 0)))
-                n += len(document[0])
-            if len(found) > 1:
-                held[i] = np.concatenate(found, axis=1)
-        busy = [i for i, rows in enumerate(held) if rows.shape[1]]
+                rows = np.zeros((4, len(document[0])), dtype=np.int32)
+                rows[0], rows[1], rows[2] = document
+                rows[3, 0] = 1
+                found.append(rows)
+                n += rows.shape[1]
+            more = n >= WINDOW
+            held[i], places[i] = np.concatenate(found, axis=1), 0
+        busy = [i for i, rows in enumerate(held) if rows.shape[1] > places[i]]
         if not busy:
             return
-        block = np.zeros((4, len(busy), WINDOW), dtype=np.int64)
+        block = np.zeros((4, len(busy), WINDOW), dtype=np.int32)
         live = np.zeros((len(busy), WINDOW), dtype=bool)
         for k, i in enumerate(busy):
-            cut = held[i][:, :WINDOW]
+            cut = held[i][:, places[i] : places[i] + WINDOW]
             block[:, k, : cut.shape[1]] = cut
             live[k, : cut.shape[1]] = True
-            held[i] = held[i][:, WINDOW:]
+            places[i] += WINDOW
         yield busy, block[0], block[1], block[2], block[3] == 1, live
 
 
@@ -329,19 +441,29 @@ def train(v: Vocabulary, documents: Iterator[tuple[np.ndarray, np.ndarray, np.nd
     h = np.zeros((streams, STATE), dtype=np.float32)
     enough = streams * WINDOW // 2
     gathered, waiting = np.zeros_like(at.weights), 0
+    sums, change = _views(gathered, v), np.empty_like(at.weights)
 
     def step() -> None:
-        g = np.clip(gathered / np.float32(waiting), -0.1, 0.1)
+        gathered[:] /= np.float32(waiting)
+        np.clip(gathered, -0.1, 0.1, out=gathered)
         at.steps += 1
         rate = RATE / (1 + at.steps / 2_000) * np.sqrt(1 - 0.999**at.steps) / (1 - 0.9**at.steps) * min(1, waiting / enough)
-        at.first[:] += 0.1 * (g - at.first)
-        at.second[:] += 0.001 * (g * g - at.second)
-        at.weights[:] -= (np.float32(rate) * at.first / (np.sqrt(at.second) + 1e-6)).astype(np.float32)
+        np.subtract(gathered, at.first, out=change)
+        change[:] *= 0.1
+        at.first += change
+        np.multiply(gathered, gathered, out=change)
+        change[:] -= at.second
+        change[:] *= 0.001
+        at.second += change
+        np.sqrt(at.second, out=change)
+        change[:] += 1e-6
+        np.divide(at.first, change, out=change)
+        change[:] *= np.float32(rate)
+        at.weights -= change
 
     for busy, token, wanted, slot, fresh, live in windows(documents, streams):
-        grads, h[busy] = _window(model, h[busy], token, wanted, slot, fresh, live)
+        _, h[busy] = _window(model, h[busy], token, wanted, slot, fresh, live, sums)
         n = int(live.sum())
-        gathered += np.float32(n) * _flat(grads)
         waiting += n
         at.tokens += n
         if waiting >= enough:
@@ -352,59 +474,91 @@ def train(v: Vocabulary, documents: Iterator[tuple[np.ndarray, np.ndarray, np.nd
     return at
 
 
-def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh, live=None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Mean gradients over the live tokens of one window, and the state behind it."""
-    past = []
-    outputs = []
-    for t in range(token.shape[1]):
-        h = np.where(fresh[:, t : t + 1], np.float32(0), h)
-        following, update, reset, new = model.step(h, token[:, t])
-        past.append((h, update, reset, new))
-        outputs.append(following)
-        h = following
+def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh, live=None, sums: Model | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Mean gradients over the live tokens of one window, and the state behind it.
+
+    Where ``sums`` is given, the tokens' gradients are added to it instead.
+    """
+    streams, length = token.shape
+    ids = token.T.ravel()
+    x = model.inputs.take(ids, axis=0).reshape(length, streams, -1)
+    begins = fresh.any(axis=0).tolist()
+    kind = np.result_type(h, x)
+    before, new, after = (np.empty((length, streams, STATE), dtype=kind) for _ in range(3))
+    gates = np.empty((length, streams, 2 * STATE), dtype=kind)
+    for t in range(length):
+        before[t] = h
+        if begins[t]:
+            before[t][fresh[:, t]] = 0
+        h = model.advance(before[t], x[t], gates[t], new[t], after[t])[0]
+    update, reset = gates[:, :, :STATE], gates[:, :, STATE:]
     # all outputs at once, by time and then stream
-    states = np.concatenate(outputs)
-    ids, want, place = token.T.ravel(), wanted.T.ravel(), slot.T.ravel()
-    counts = np.ones(len(ids), dtype=bool) if live is None else live.T.ravel()
-    share = counts.astype(np.float32) / np.float32(counts.sum())
-    logits = states @ model.classes + model.class_bias
-    soft = np.exp(logits - _log_sum(logits)[:, None])
-    soft[np.arange(len(soft)), want] -= 1
-    soft *= share[:, None]
-    g_classes, g_bias = states.T @ soft, soft.sum(axis=0)
-    back = soft @ model.classes.T
-    g_inside, g_inside_bias = np.zeros_like(model.inside), np.zeros_like(model.inside_bias)
-    inner = np.flatnonzero((place >= 0) & counts)
-    inner = inner[np.argsort(want[inner], kind="stable")]
-    for rows in np.split(inner, np.flatnonzero(np.diff(want[inner])) + 1) if len(inner) else []:
-        c = want[rows[0]] - 1
-        logits = states[rows] @ model.inside[c].T + model.inside_bias[c]
-        soft = np.exp(logits - _log_sum(logits)[:, None])
-        soft[np.arange(len(rows)), place[rows]] -= 1
-        soft *= share[rows][:, None]
-        g_inside[c], g_inside_bias[c] = soft.T @ states[rows], soft.sum(axis=0)
-        back[rows] += soft @ model.inside[c]
-    back = back.reshape(token.shape[1], len(token), STATE)
+    states, want, place = after.reshape(-1, STATE), wanted.T.ravel(), slot.T.ravel()
+    rows = None if live is None or live.all() else np.flatnonzero(live.T.ravel())
+    if rows is not None:
+        states, want, place = states.take(rows, axis=0), want[rows], place[rows]
+    share = states.dtype.type(1 if sums is not None else 1 / len(states))
+    if sums is None:
+        sums = Model(*(np.zeros_like(p) for p in model.parts()))
+    logits = states @ model.classes
+    logits += model.class_bias
+    whole = _exponentials(_steady(logits))
+    logits[np.arange(len(logits)), want] -= whole
+    scale = share / whole
+    sums.classes += np.ascontiguousarray((states * scale[:, None]).T) @ logits
+    sums.class_bias += scale @ logits
+    back = logits @ model.classes.T
+    back *= scale[:, None]
+    inner, cuts = by_class(want, place)
+    if len(inner):
+        picked = states.take(inner, axis=0)
+        logits, slots, behind = model.inner_logits(picked, cuts), place[inner], np.empty_like(picked)
+        whole = _exponentials(_steady(logits))
+        logits[np.arange(len(logits)), slots] -= whole
+        scale = share / whole
+        scaled = picked * scale[:, None]
+        for c, begin, end in cuts:
+            part = logits[begin:end]
+            sums.inside[c] += part.T @ scaled[begin:end]
+            sums.inside_bias[c] += scale[begin:end] @ part
+            np.matmul(part, model.inside[c], out=behind[begin:end])
+        behind *= scale[:, None]
+        back[inner] += behind
+    if rows is not None:
+        back, some = np.zeros((length * streams, STATE), dtype=back.dtype), back
+        back[rows] = some
+    back = back.reshape(length, streams, STATE)
+    d_inputs = np.empty_like(x)
+    # what a state's gradient is multiplied with on its way to candidate, update and reset gate
+    to_new = update * (1 - new * new)
+    to_update = (new - before) * update * (1 - update)
+    gated = reset * before
+    to_reset = gated * (1 - reset)
+    kept = 1 - update
     behind = np.zeros_like(h)
-    through: list[np.ndarray] = []
-    for t in reversed(range(token.shape[1])):
-        before, update, reset, new = past[t]
-        own = behind + back[t]
-        d_new = own * update * (1 - new * new)
-        d_gated = d_new @ model.candidate.T
-        gates = np.concatenate((own * (new - before) * update * (1 - update), d_gated * before * reset * (1 - reset)), axis=1)
-        through.append(np.concatenate((gates, d_new), axis=1))
-        behind = own * (1 - update) + d_gated * reset + gates @ model.recur.T
-        behind = np.where(fresh[:, t : t + 1], np.float32(0), behind)
-    d_inputs = np.concatenate(through[::-1])
-    before = np.concatenate([p[0] for p in past])
-    gated = np.concatenate([p[2] * p[0] for p in past])
-    g_recur, g_candidate = before.T @ d_inputs[:, : 2 * STATE], gated.T @ d_inputs[:, 2 * STATE :]
-    g_inputs = np.zeros_like(model.inputs)
-    order = np.argsort(ids, kind="stable")
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(ids[order])) + 1))
-    g_inputs[ids[order][starts]] = np.add.reduceat(d_inputs[order], starts, axis=0)
-    return [g_inputs, g_recur, g_candidate, g_classes, g_bias, g_inside, g_inside_bias], h
+    for t in reversed(range(length)):
+        own = back[t]
+        own += behind
+        d = d_inputs[t]
+        np.multiply(own, to_new[t], out=d[:, 2 * STATE :])
+        d_gated = d[:, 2 * STATE :] @ model.candidate.T
+        np.multiply(own, to_update[t], out=d[:, :STATE])
+        np.multiply(d_gated, to_reset[t], out=d[:, STATE : 2 * STATE])
+        behind = d[:, : 2 * STATE] @ model.recur.T
+        own *= kept[t]
+        behind += own
+        d_gated *= reset[t]
+        behind += d_gated
+        if begins[t]:
+            behind[fresh[:, t]] = 0
+    d_inputs = d_inputs.reshape(len(ids), -1)
+    sums.recur += before.reshape(-1, STATE).T @ d_inputs[:, : 2 * STATE]
+    sums.candidate += gated.reshape(-1, STATE).T @ d_inputs[:, 2 * STATE :]
+    order = _sorting(ids)
+    ids = ids[order]
+    starts = np.append(0, np.flatnonzero(np.diff(ids)) + 1)
+    sums.inputs[ids[starts]] += np.add.reduceat(d_inputs.take(order, axis=0), starts, axis=0)
+    return sums.parts(), h
 
 
 def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -425,13 +579,11 @@ def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarra
         states.clear(), places.clear(), owners.clear()
 
     ids = np.arange(len(docs))
-    active = len(docs)
-    for t in range(int(sizes[0]) if len(sizes) else 0):
-        while sizes[active - 1] <= t:
-            active -= 1
-        h = h[:active]
+    # documents that go on at each step; the longest stand first
+    going = len(docs) - np.searchsorted(sizes[::-1], np.arange(sizes[0] if len(sizes) else 0), side="right")
+    for t, active in enumerate(going.tolist()):
         at = begin[:active] + t
-        h = model.step(h, token[at])[0]
+        h = model.step(h[:active], token[at])[0]
         states.append(h), places.append(at), owners.append(ids[:active])
         waiting += active
         if waiting >= STATES_AT_ONCE:
@@ -447,16 +599,6 @@ def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarra
 # ---------------------------------------------------------------- Spark
 
 
-def _placed(v: Vocabulary, known_tails: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rank of each word (-1: rare), its ending class, and where the rare ones stand."""
-    at = v.places(words)
-    rare = np.flatnonzero(at < 0)
-    tails = known_tails[at] if len(known_tails) else np.zeros(len(at), dtype=np.int64)
-    if len(rare):
-        tails[rare] = [v.tail(words[i]) for i in rare]
-    return at, tails, rare
-
-
 def learn_model(training: DataFrame, v: Vocabulary) -> tuple[Model, int]:
     """The model of all documents given, and on how many tokens (with ends) it was trained."""
     progress, trained = Progress.fresh(v), 0
@@ -482,22 +624,25 @@ def _round(rows: DataFrame, vocabulary: Broadcast, before: Progress, streams: in
     """Every task trains on its rows; the mean of what they come to, by tokens."""
     shared = rows.sparkSession.sparkContext.broadcast(before)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _one_thread()
         v = vocabulary.value
-        known_tails = v.tails()
+        placed = v.lookup()
 
         def documents() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             for batch in batches:
-                for text in batch["text"]:
-                    at, tails, _ = _placed(v, known_tails, words_of(text))
-                    yield targets(v, at, tails)
+                counts, places, words = batch_words(batch["text"])
+                at, tails = placed(words)
+                yield from batch_targets(v, at[places], tails[places], counts)
 
         after = train(v, documents(), shared.value, streams)
         if after.tokens:
             values = _flat([after.weights, after.first, after.second])
             blocks = [values[i : i + BLOCK].tobytes() for i in range(0, len(values), BLOCK)]
-            yield pd.DataFrame({"block": range(len(blocks)), "tokens": after.tokens, "steps": after.steps, "values": blocks})
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array(range(len(blocks)), pa.int32()), "tokens": [after.tokens] * len(blocks),
+                "steps": [float(after.steps)] * len(blocks), "values": blocks,
+            })
 
     def average(found: pd.DataFrame) -> pd.DataFrame:
         weights = found["tokens"].to_numpy(dtype=np.float64)
@@ -509,7 +654,7 @@ def _round(rows: DataFrame, vocabulary: Broadcast, before: Progress, streams: in
 
     schema = "block int, tokens long, steps double, values binary"
     # as many rows as a model has blocks
-    blocks = sorted(rows.mapInPandas(work, schema).groupBy("block").applyInPandas(average, schema).collect(), key=lambda r: r["block"])
+    blocks = sorted(rows.mapInArrow(work, schema).groupBy("block").applyInPandas(average, schema).collect(), key=lambda r: r["block"])
     shared.unpersist()
     if not blocks:
         return Progress(before.weights, before.first, before.second, before.steps)
@@ -524,41 +669,60 @@ def learn(training: DataFrame) -> tuple[Vocabulary, Model, DataFrame]:
     return vocabulary, learn_model(training, vocabulary)[0], counts
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Several batches as one, so that a long document has more others beside it."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= SCORED_AT_ONCE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def score(docs: DataFrame, vocabulary: Vocabulary, model: Model, counts: DataFrame) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every row."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _one_thread()
         v, m = shared.value
-        known_tails = v.tails()
+        placed = v.lookup()
         known_log = np.log10(v.count + ADDED) if len(v.count) else np.zeros(1)
         end_log = float(np.log10(v.documents + ADDED))
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            prepared, rows = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                words = words_of(text)
-                at, tails, rare = _placed(v, known_tails, words)
-                seen = at[at >= 0]
-                prepared.append(targets(v, at, tails))
-                # what is settled here of a tail word's probability; rare words' counts come later
-                settled = known_log[seen[seen >= v.head]].sum() - v.class_log[tails[(at < 0) | (at >= v.head)]].sum()
-                missing = Counter(words[i] for i in rare)
-                rows.append(
-                    (number, doc_id, len(words) + 1, len(seen) + (v.documents > 0), known_log[seen].sum() + end_log, settled,
-                     [{"word": w, "times": k} for w, k in missing.items()])
-                )
-                number += 1
-            out = pd.DataFrame(rows, columns=["_row", "doc_id", "n_tokens", "_known", "_base", "_settled", "_rare"])
-            out["_settled"] += likelihoods(m, prepared) / np.log(10)
-            yield out
+        for batch in _merged(batches):
+            counts, places, words = batch_words(batch["text"])
+            word_at, word_tails = placed(words)
+            at, tails = word_at[places], word_tails[places]
+            n = len(counts)
+            owner = np.repeat(np.arange(n), counts)
+            base = np.where(at >= 0, known_log[at], 0)
+            # what is settled here of a tail word's probability; rare words' counts come later
+            settled = np.where(at >= v.head, base, 0) - np.where((at < 0) | (at >= v.head), v.class_log[tails], 0)
+            settled = np.bincount(owner, weights=settled, minlength=n)
+            settled = settled + likelihoods(m, list(batch_targets(v, at, tails, counts))) / np.log(10)
+            # rare words of each document, and how often they stand there
+            rare, times = np.unique(owner[at < 0] * len(words) + places[at < 0], return_counts=True)
+            found = pa.StructArray.from_arrays(
+                [words.take(pa.array(rare % max(1, len(words)))), pa.array(times, pa.int64())], ["word", "times"]
+            )
+            offsets = np.searchsorted(rare, np.arange(n + 1) * max(1, len(words)))
+            yield pa.RecordBatch.from_pydict({
+                "_row": np.arange(number, number + n), "doc_id": batch["doc_id"], "n_tokens": counts + 1,
+                "_known": np.bincount(owner[at >= 0], minlength=n) + (v.documents > 0),
+                "_base": np.bincount(owner, weights=base, minlength=n) + end_log, "_settled": settled,
+                "_rare": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found),
+            })
+            number += n
 
     schema = (
         "_row long, doc_id long, n_tokens long, _known long, _base double, _settled double, "
         "_rare array<struct<word: binary, times: long>>"
     )
-    rows = stage(spread(_texts(docs)).mapInPandas(describe, schema), "described")
+    rows = stage(spread(_texts(docs)).mapInArrow(describe, schema), "described")
     rare = rows.select("_row", F.explode("_rare").alias("_r")).select("_row", "_r.word", "_r.times")
     added = (
         rare.join(counts, "word", "left")
