@@ -67,7 +67,7 @@ COUNTED_AT_ONCE = 500_000
 SCORED_AT_ONCE = 8 << 20
 STATES_AT_ONCE = 2_048
 # Logits within this of zero have exponentials that neither overflow nor vanish in single precision.
-SAFE = 40
+SAFE = 60
 
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MARKS = b".,;:!?|()\"'*#$%&"
@@ -285,23 +285,54 @@ class Model:
         following += h
         return following, update, reset, new
 
+    def outputs(self) -> "Outputs":
+        return Outputs(
+            np.vstack((self.classes, self.class_bias)), np.concatenate((self.inside, self.inside_bias[:, :, None]), axis=2),
+            # states lie between -1 and 1
+            float((np.abs(self.classes).sum(axis=0) + np.abs(self.class_bias)).max(initial=0)) < SAFE,
+        )
+
     def log_likelihood(self, h: np.ndarray, wanted: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """Natural log of class and head-word probabilities. ``slot``: place in a head class or -1."""
-        logits = h @ self.classes
-        logits += self.class_bias
-        result = _log_shares(logits, wanted)
+        outputs, states = self.outputs(), _with_one(h)
+        logits = outputs.class_logits(states)
+        found = logits[np.arange(len(logits)), wanted]
+        found -= np.log(_exponentials(logits))
         rows, cuts = by_class(wanted, slot)
         if len(rows):
-            result[rows] += _log_shares(self.inner_logits(h.take(rows, axis=0), cuts), slot[rows])
-        return result
+            logits = outputs.inner_logits(states.take(rows, axis=0), cuts)
+            found[rows] += logits[np.arange(len(rows)), slot[rows]] - np.log(_exponentials(logits))
+        return found
+
+
+@dataclass
+class Outputs:
+    """Output weights with their biases as the last row, for states with a one behind them.
+
+    The logits given are steady: their exponentials are finite and do not all vanish.
+    """
+
+    classes: np.ndarray
+    inside: np.ndarray
+    steady: bool
+
+    def class_logits(self, states: np.ndarray) -> np.ndarray:
+        logits = states @ self.classes
+        return logits if self.steady else _steady(logits)
 
     def inner_logits(self, states: np.ndarray, cuts: list[tuple[int, int, int]]) -> np.ndarray:
         """Logits of the words of each row's head class; rows stand by class, as ``by_class`` orders them."""
         logits = np.empty((len(states), CLASS_WORDS), dtype=np.result_type(states, self.inside))
         for c, begin, end in cuts:
             np.matmul(states[begin:end], self.inside[c].T, out=logits[begin:end])
-        logits += np.repeat(self.inside_bias[[c for c, _, _ in cuts]], [end - begin for _, begin, end in cuts], axis=0)
-        return logits
+        return _steady(logits)
+
+
+def _with_one(states: np.ndarray) -> np.ndarray:
+    found = np.empty((len(states), STATE + 1), dtype=states.dtype)
+    found[:, :STATE] = states
+    found[:, STATE] = 1
+    return found
 
 
 def _sorting(values: np.ndarray) -> np.ndarray:
@@ -333,13 +364,6 @@ def _exponentials(logits: np.ndarray) -> np.ndarray:
     return logits @ np.ones(logits.shape[1], dtype=logits.dtype)
 
 
-def _log_shares(logits: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax at one place of each row; the logits are used up."""
-    found = _steady(logits)[np.arange(len(logits)), place]
-    found -= np.log(_exponentials(logits))
-    return found
-
-
 def targets(v: Vocabulary, places: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Input, class and slot of each token from its rank (-1: rare) and ending class; the end follows."""
     return next(iter(batch_targets(v, places, tails, np.array([len(places)]))))
@@ -422,12 +446,15 @@ def windows(documents: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], stre
         if not busy:
             return
         block = np.zeros((4, len(busy), WINDOW), dtype=np.int32)
-        live = np.zeros((len(busy), WINDOW), dtype=bool)
+        live = np.ones((len(busy), WINDOW), dtype=bool)
         for k, i in enumerate(busy):
             cut = held[i][:, places[i] : places[i] + WINDOW]
-            block[:, k, : cut.shape[1]] = cut
-            live[k, : cut.shape[1]] = True
             places[i] += WINDOW
+            if cut.shape[1] == WINDOW:
+                block[:, k] = cut
+            else:
+                block[:, k, : cut.shape[1]] = cut
+                live[k, cut.shape[1] :] = False
         yield busy, block[0], block[1], block[2], block[3] == 1, live
 
 
@@ -500,27 +527,26 @@ def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh, live=None,
     share = states.dtype.type(1 if sums is not None else 1 / len(states))
     if sums is None:
         sums = Model(*(np.zeros_like(p) for p in model.parts()))
-    logits = states @ model.classes
-    logits += model.class_bias
-    whole = _exponentials(_steady(logits))
-    logits[np.arange(len(logits)), want] -= whole
-    scale = share / whole
-    sums.classes += np.ascontiguousarray((states * scale[:, None]).T) @ logits
-    sums.class_bias += scale @ logits
+    outputs, states = model.outputs(), _with_one(states)
+    logits = outputs.class_logits(states)
+    scale = _less_wanted(logits, want, share)
+    grads = np.ascontiguousarray((states * scale[:, None]).T) @ logits
+    sums.classes += grads[:STATE]
+    sums.class_bias += grads[STATE]
     back = logits @ model.classes.T
     back *= scale[:, None]
     inner, cuts = by_class(want, place)
     if len(inner):
         picked = states.take(inner, axis=0)
-        logits, slots, behind = model.inner_logits(picked, cuts), place[inner], np.empty_like(picked)
-        whole = _exponentials(_steady(logits))
-        logits[np.arange(len(logits)), slots] -= whole
-        scale = share / whole
-        scaled = picked * scale[:, None]
+        logits = outputs.inner_logits(picked, cuts)
+        scale = _less_wanted(logits, place[inner], share)
+        picked *= scale[:, None]
+        behind = np.empty((len(inner), STATE), dtype=back.dtype)
         for c, begin, end in cuts:
             part = logits[begin:end]
-            sums.inside[c] += part.T @ scaled[begin:end]
-            sums.inside_bias[c] += scale[begin:end] @ part
+            grads = part.T @ picked[begin:end]
+            sums.inside[c] += grads[:, :STATE]
+            sums.inside_bias[c] += grads[:, STATE]
             np.matmul(part, model.inside[c], out=behind[begin:end])
         behind *= scale[:, None]
         back[inner] += behind
@@ -561,36 +587,34 @@ def _window(model: Model, h: np.ndarray, token, wanted, slot, fresh, live=None,
     return sums.parts(), h
 
 
+def _less_wanted(logits: np.ndarray, wanted: np.ndarray, share: float) -> np.ndarray:
+    """Turns logits into the gradients behind them, up to a factor of each row, which is returned."""
+    whole = _exponentials(logits)
+    logits[np.arange(len(logits)), wanted] -= whole
+    return share / whole
+
+
 def likelihoods(model: Model, docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
     """Natural log-likelihood (classes and head words) of complete documents, side by side."""
-    lengths = np.array([len(d[0]) for d in docs])
+    lengths = np.array([len(d[0]) for d in docs], dtype=np.int64)
     order = np.argsort(-lengths, kind="stable")
-    token, wanted, slot = (np.concatenate([docs[i][k] for i in order]) for k in range(3))
     sizes = lengths[order]
-    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    # documents that go on at each step, the longest first; all tokens by step and then document
+    going = len(docs) - np.searchsorted(sizes[::-1], np.arange(sizes[0] if len(sizes) else 0), side="right")
+    owners = np.arange(sizes.sum()) - np.repeat(np.cumsum(going) - going, going)
+    at = (np.cumsum(sizes) - sizes)[owners] + np.repeat(np.arange(len(going)), going)
+    token, wanted, slot = (np.concatenate([docs[i][k] for i in order])[at] if docs else at for k in range(3))
     result = np.zeros(len(docs))
     h = np.zeros((len(docs), STATE), dtype=np.float32)
-    states, places, owners, waiting = [], [], [], 0
-
-    def settle() -> None:
-        at, who = np.concatenate(places), np.concatenate(owners)
-        found = model.log_likelihood(np.concatenate(states), wanted[at], slot[at])
-        result[:] += np.bincount(who, weights=found, minlength=len(docs))
-        states.clear(), places.clear(), owners.clear()
-
-    ids = np.arange(len(docs))
-    # documents that go on at each step; the longest stand first
-    going = len(docs) - np.searchsorted(sizes[::-1], np.arange(sizes[0] if len(sizes) else 0), side="right")
-    for t, active in enumerate(going.tolist()):
-        at = begin[:active] + t
-        h = model.step(h[:active], token[at])[0]
-        states.append(h), places.append(at), owners.append(ids[:active])
-        waiting += active
-        if waiting >= STATES_AT_ONCE:
-            settle()
-            waiting = 0
-    if states:
-        settle()
+    states, begin, end = [], 0, 0
+    for active in going.tolist():
+        h = model.step(h[:active], token[end : end + active])[0]
+        states.append(h)
+        end += active
+        if end - begin >= STATES_AT_ONCE or end == len(token):
+            found = model.log_likelihood(np.concatenate(states), wanted[begin:end], slot[begin:end])
+            result += np.bincount(owners[begin:end], weights=found, minlength=len(docs))
+            states, begin = [], end
     back = np.empty(len(docs))
     back[order] = result
     return back
