@@ -153,6 +153,15 @@ def test_candidates_have_a_neighbour(spark):
     assert sorted(found) == sorted(prints.view(np.int64)[near].tolist())
 
 
+def test_probes_of_one_small_file_are_made_by_many_tasks(spark, tmp_path):
+    rows = [(random.Random(i).getrandbits(63),) for i in range(200)]
+    spark.createDataFrame(rows, "fp long").coalesce(1).write.parquet(str(tmp_path / "prints"))
+    prints = spark.read.parquet(str(tmp_path / "prints"))
+    assert prints.rdd.getNumPartitions() == 1
+    index, probes, crowded = simhash._sides(prints, 10, simhash.HOT_KEY)
+    assert probes.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and crowded is None
+
+
 def test_long_text_fingerprint_in_blocks(monkeypatch):
     text = b" ".join(b"w%d" % (i * i % 977) for i in range(5_000))
     whole = simhash.fingerprint_of(text)

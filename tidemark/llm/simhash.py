@@ -62,6 +62,9 @@ VERIFIED_PERCENT = 80
 # An index key with more fingerprints is linked through shared points.
 HOT_KEY = 4_096
 
+# Probes that one task makes. Fingerprints are few bytes but hundreds of probes each, so files tell nothing of the work.
+TASK_PROBES = 2_000_000
+
 # Relative costs of shuffling a probe and of verifying a candidate.
 ROW_COST = 20.0
 CANDIDATE_COST = 1.0
@@ -253,10 +256,18 @@ def _probes(index: DataFrame, layout: list[tuple[list[int], int]]) -> DataFrame:
     ).select("asks", "part", F.col("key").bitwiseXOR(F.col("_mask")).alias("key"))
 
 
+def _dealt(prints: DataFrame, rows: int, layout: list[tuple[list[int], int]]) -> DataFrame:
+    """Fingerprints dealt out by the probes they will make; one small file would be one task otherwise."""
+    probes = rows * sum(len(error_masks(group, threshold)) for group, threshold in layout if threshold >= 0)
+    tasks = max(prints.sparkSession.sparkContext.defaultParallelism, -(-probes // TASK_PROBES))
+    return prints.repartition(tasks, "fp")
+
+
 def _sides(prints: DataFrame, tolerance: int, hot_key: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Index and probes without hot keys, and the distinct fingerprints that probe hot keys, if any."""
     rows, pairs = bit_counts(prints)
     layout = allocate(rows, pairs, tolerance)
+    prints = _dealt(prints, rows, layout)
     index = _index(prints, layout)
     probes = _probes(index, layout)
     hot = stage(
