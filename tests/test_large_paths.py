@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, bronze, change
+from tidemark import workspace
 from tidemark.catalog import QUERIES, changes as catalog_changes, star as catalog_star, tables as catalog_tables
 from tidemark.operators import asof, settle as settling
 from tidemark.plans import dimensions, facts
@@ -126,3 +127,17 @@ def test_segments_are_parsed_once_for_all_batches(spark, monkeypatch, small_tabl
     whole = QUERIES["scd2_with_deletes"](spark, small_tables)
     assert "segment-rows" in seen
     assert sorted(map(str, rows.drop("others_untouched").collect())) == sorted(map(str, whole.collect()))
+
+
+def test_intermediate_tables_of_dimensions_go(spark, monkeypatch, tmp_path):
+    """What a dimension is built from is deleted once the dimension is written."""
+    monkeypatch.setattr(workspace, "shared_root", lambda _: str(tmp_path))
+    released = []
+    monkeypatch.setattr(workspace, "release_shuffles", lambda _: released.append(1))
+
+    def rows(spark, sf_dir, label):
+        return settling.settle(spark.range(10).toDF(label), label, above=-1).withColumn("more", F.lit(1))
+
+    one, two = catalog_star._staged(spark, "", lambda *a: rows(*a, "first"), lambda *a: rows(*a, "second"))
+    assert one.count() == two.count() == 10 and one.columns == ["first", "more"]
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["dimensions"] and len(released) == 2
